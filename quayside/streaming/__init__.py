@@ -1,0 +1 @@
+"""Empty on purpose: every job in scope is a batch job (see README)."""
