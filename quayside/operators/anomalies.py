@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 
 from quayside.functions import tiers
 from quayside.functions.rounding import half_away, half_even
-from quayside.operators.features import SHIPMENT_FEATURES, reason_flags, reason_thresholds
+from quayside.operators.features import (
+    SHIPMENT_FEATURES, reason_flags, reason_thresholds, shipment_codes, shipment_ratios,
+)
 from quayside.operators.order_statistics import exact_quantiles
-from quayside.session import cut_lineage
+from quayside.session import by_key, cut_lineage, spread
 
 # Forest settings.
 TREES, SAMPLE, CONTAMINATION, SEED = 200, 256, 0.05, 42
@@ -25,8 +27,8 @@ ANOMALY_COLUMNS = (
     "freight_cost_usd", "cost_per_unit", "delay_ratio", "status", "is_disrupted", "is_anomaly", "anomaly_score",
     "anomaly_severity", "severity_tier", "anomaly_reasons",
 )
-_NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, length double"
-_CHUNK = 2048
+_NODE_SCHEMA = "tree int, node int, feature int, threshold double, child int, length double"
+_CHUNK = 8192
 
 
 def expected_path(n: float) -> float:
@@ -60,11 +62,12 @@ def draw_samples(numbered: DataFrame, rows: int, trees: int, sample: int, seed:
                         lambda t: _unit(F.col("row_number"), t, F.lit(seed)) < share)
         drawn = numbered.withColumn("tree", F.explode(hits))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("row_number", "tree", F.lit(seed + 2)), "row_number")
-    return drawn.withColumn("_pick", F.row_number().over(order)).filter(F.col("_pick") <= sample).drop("_pick")
+    return by_key(drawn, "tree").withColumn("_pick", F.row_number().over(order)).filter(F.col("_pick") <= sample).drop("_pick")
 
 
 def _grow_tree(points: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple]:
-    """Nodes (node, feature, threshold, left, right, length); a leaf has feature -1."""
+    """Nodes (node, feature, threshold, left child, length); the right child follows the left. A leaf has
+    feature -1 and is its own child."""
     nodes: list[tuple] = []
     todo = [(0, points, 0)]
     spare = 1
@@ -73,15 +76,14 @@ def _grow_tree(points: np.ndarray, limit: int, rng: np.random.Generator) -> list
         low, high = here.min(axis=0), here.max(axis=0)
         varying = np.flatnonzero(high > low)
         if depth >= limit or len(here) <= 1 or len(varying) == 0:
-            nodes.append((number, -1, 0.0, number, number, depth + expected_path(len(here))))
+            nodes.append((number, -1, 0.0, number, depth + expected_path(len(here))))
             continue
         feature = int(rng.choice(varying))
         cut = float(rng.uniform(low[feature], high[feature]))
         goes_left = here[:, feature] <= cut
-        left, right = spare, spare + 1
+        nodes.append((number, feature, cut, spare, 0.0))
+        todo += [(spare, here[goes_left], depth + 1), (spare + 1, here[~goes_left], depth + 1)]
         spare += 2
-        nodes.append((number, feature, cut, left, right, 0.0))
-        todo += [(left, here[goes_left], depth + 1), (right, here[~goes_left], depth + 1)]
     return nodes
 
 
@@ -94,60 +96,73 @@ def grow_forest(samples: DataFrame, sample: int, seed: int) -> DataFrame:
         # Row order after a shuffle is arbitrary; sorting makes a tree depend on its sample only.
         points = rows.sort_values("row_number")[list(SHIPMENT_FEATURES)].to_numpy(dtype=float)
         nodes = _grow_tree(points, limit, np.random.default_rng([seed, tree]))
-        frame = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "length"])
-        return frame.assign(tree=tree)[["tree", "node", "feature", "threshold", "left", "right", "length"]]
+        frame = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "child", "length"])
+        return frame.assign(tree=tree)[["tree", "node", "feature", "threshold", "child", "length"]]
 
     return samples.select("tree", "row_number", *SHIPMENT_FEATURES).groupBy("tree").applyInPandas(
         grow, _NODE_SCHEMA)
 
 
 def pack_forest(nodes: Iterable) -> dict[str, np.ndarray]:
-    """Node rows as arrays indexed by (tree, node)."""
+    """Node rows as arrays indexed by (tree, node). The children of a node are neighbours, so one index serves
+    both; a leaf sends every row to itself."""
     nodes = list(nodes)
-    trees = sorted({n["tree"] for n in nodes})
-    position = {tree: i for i, tree in enumerate(trees)}
-    width = max(n["node"] for n in nodes) + 1
-    kinds = {"feature": int, "threshold": float, "left": int, "right": int, "length": float}
-    packed = {name: np.zeros((len(trees), width), dtype=kind) for name, kind in kinds.items()}
+    position = {tree: i for i, tree in enumerate(sorted({n["tree"] for n in nodes}))}
+    shape = (len(position), max(n["node"] for n in nodes) + 1)
+    packed = {"feature": np.zeros(shape, dtype=np.int64), "threshold": np.full(shape, np.inf),
+              "child": np.zeros(shape, dtype=np.int64), "length": np.zeros(shape)}
     for n in nodes:
-        for name in kinds:
-            packed[name][position[n["tree"]], n["node"]] = n[name]
+        at = position[n["tree"]], n["node"]
+        packed["child"][at] = n["child"]
+        if n["feature"] >= 0:
+            packed["feature"][at], packed["threshold"][at] = n["feature"], n["threshold"]
+        else:
+            packed["length"][at] = n["length"]
     return packed
 
 
 def isolation_scores(x: np.ndarray, forest: dict[str, np.ndarray], sample: int) -> np.ndarray:
     """Negated anomaly score per row, in [-1, 0): the shorter the paths, the lower."""
-    trees, width = forest["feature"].shape
-    flat = {name: values.ravel() for name, values in forest.items()}
-    offset = (np.arange(trees) * width)[:, None]
+    trees = len(forest["feature"])
+    levels = ceil(log2(max(sample, 2)))
     scores = np.empty(len(x))
     for begin in range(0, len(x), _CHUNK):
         rows = x[begin:begin + _CHUNK]
-        column = np.arange(len(rows))[None, :]
-        at = np.repeat(offset, len(rows), axis=1)
-        for _ in range(ceil(log2(max(sample, 2)))):
-            feature = flat["feature"][at]
-            left = rows[column, np.maximum(feature, 0)] <= flat["threshold"][at]
-            at = np.where(left, flat["left"][at], flat["right"][at]) + offset
-        depth = flat["length"][at].mean(axis=0)
-        scores[begin:begin + _CHUNK] = -np.power(2.0, -depth / max(expected_path(sample), 1e-12))
+        by_column, row = rows.ravel(order="F"), np.arange(len(rows))
+        depth = np.zeros(len(rows))
+        for t in range(trees):
+            feature, threshold = forest["feature"][t] * len(rows), forest["threshold"][t]
+            child, at = forest["child"][t], np.zeros(len(rows), dtype=np.int64)
+            for _ in range(levels):
+                at = child[at] + (by_column[feature[at] + row] > threshold[at])
+            depth += forest["length"][t][at]
+        scores[begin:begin + _CHUNK] = -np.power(2.0, -(depth / trees) / max(expected_path(sample), 1e-12))
     return scores
 
 
+def number_rows(df: DataFrame) -> DataFrame:
+    """Write the rows once, each with a number. Sampling, scoring and encoding read them in separate passes,
+    and a number stays with its row only while nothing recomputes it."""
+    return cut_lineage(df.withColumn("row_number", F.monotonically_increasing_id()))
+
+
 def isolation_forest(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE,
                      contamination: float = CONTAMINATION, seed: int = SEED) -> DataFrame:
-    """Shipments with ``anomaly_label``, ``anomaly_score`` and ``is_anomaly``.
+    """Rows of ``number_rows`` with ``anomaly_label``, ``anomaly_score`` and ``is_anomaly``.
 
-    The matrix and the scores are each written once, since sampling, scoring and the exact cut-off read them
-    in separate passes. What reaches the driver is the node table, whose size depends on the settings only.
+    The scores are written once, since the exact cut-off takes several passes. What reaches the driver is the
+    node table, whose size depends on the settings only.
     """
+    rows = matrix.count()
+    if rows == 0:
+        return matrix.drop("row_number").select(
+            "*", F.lit(1).alias("anomaly_label"), F.lit(0.0).alias("anomaly_score"),
+            F.lit(False).alias("is_anomaly"))
+    sample = min(sample, rows)
+    matrix = spread(matrix)
     inputs = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SHIPMENT_FEATURES]
-    numbered = cut_lineage(matrix.withColumn("row_number", F.monotonically_increasing_id()))
-    rows = numbered.count()
-    sample = min(sample, max(rows, 1))
-    clean = numbered.select("row_number", *[v.alias(c) for v, c in zip(inputs, SHIPMENT_FEATURES)])
-    samples = draw_samples(clean, rows, trees, sample, seed)
-    nodes = grow_forest(samples, sample, seed).collect()  # bounded: trees x 2 x sample
+    clean = matrix.select("row_number", *[v.alias(c) for v, c in zip(inputs, SHIPMENT_FEATURES)])
+    nodes = grow_forest(draw_samples(clean, rows, trees, sample, seed), sample, seed).collect()  # trees x 2 x sample
     forest = matrix.sparkSession.sparkContext.broadcast(pack_forest(nodes))
 
     @F.pandas_udf(T.DoubleType())
@@ -155,7 +170,7 @@ def isolation_forest(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
         return pd.Series(isolation_scores(x, forest.value, sample))
 
-    scored = cut_lineage(numbered.withColumn("raw_score", score(*inputs)).drop("row_number"))
+    scored = cut_lineage(matrix.withColumn("raw_score", score(*inputs)).drop("row_number"))
     cut = exact_quantiles(scored, {"raw": (F.col("raw_score"), contamination)})["raw"]
     return (
         scored.withColumn("anomaly_label", F.when(F.col("raw_score") - F.lit(cut) < 0, -1).otherwise(1))
@@ -180,8 +195,9 @@ def anomaly_reasons(severe: DataFrame, thresholds: dict[str, float | None]) -> D
         "anomaly_reasons", F.when(F.col("is_anomaly"), reason_flags(thresholds)).otherwise("NORMAL"))
 
 
-def shipment_anomalies(matrix: DataFrame) -> DataFrame:
-    """The stored anomaly table."""
+def shipment_anomalies(enriched: DataFrame) -> DataFrame:
+    """The stored anomaly table. The joins behind the enriched shipments run once."""
+    matrix = shipment_codes(number_rows(shipment_ratios(enriched)))
     flagged = isolation_forest(matrix)
     return anomaly_reasons(anomaly_severity(flagged), reason_thresholds(flagged)).select(*ANOMALY_COLUMNS)
 

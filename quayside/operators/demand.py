@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import tiers
 from quayside.functions.rounding import half_away, half_even
+from quayside.session import by_key
 
 HORIZON_DAYS = 90
 SERIES = ["sku", "warehouse"]
@@ -121,7 +122,7 @@ def demand_forecast(history: DataFrame, horizon: int = HORIZON_DAYS) -> DataFram
     """
     daily = history.groupBy(F.to_date("date").alias("date"), *SERIES).agg(
         F.sum("demand").cast("double").alias("demand"))
-    return daily.groupBy(*SERIES).applyInPandas(
+    return by_key(daily, *SERIES).groupBy(*SERIES).applyInPandas(
         lambda rows: _fit_series(rows, horizon),
         "ds date, yhat double, yhat_lower double, yhat_upper double, sku string, warehouse string",
     )

@@ -64,9 +64,9 @@ def shipment_ratios(enriched: DataFrame) -> DataFrame:
     )
 
 
-def shipment_matrix(enriched: DataFrame) -> DataFrame:
+def shipment_codes(ratios: DataFrame) -> DataFrame:
     """Shipments with ratios and codes; the model reads ``SHIPMENT_FEATURES`` in order, null as 0."""
-    coded = label_encode(shipment_ratios(enriched), {
+    coded = label_encode(ratios, {
         "origin_country": "country_enc", "destination_warehouse": "warehouse_enc", "carrier": "carrier_enc",
         "sku": "sku_enc", "supplier_risk_level": "risk_enc"})
     return coded.withColumn("is_disrupted_int", F.col("is_disrupted").cast("int"))

@@ -35,7 +35,7 @@ def train(matrix: DataFrame, trees: int = TREES, depth: int = DEPTH, rate: float
     booster = GBTClassifier(
         labelCol="target", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed,
         maxBins=64, minInstancesPerNode=1, subsamplingRate=1.0, featureSubsetStrategy="all",
-        cacheNodeIds=True, checkpointInterval=20,
+        checkpointInterval=20,
     )
     return booster.fit(assemble(matrix).select("features", "target"))
 

@@ -190,7 +190,7 @@ def external_lpi_view_by_risk(w: Warehouse) -> DataFrame:
 
 @query
 def weather_disruption_score(w: Warehouse) -> DataFrame:
-    return settled(external.weather_disruption_score(w.raw.weather_daily()), windspeed_kmh=6)
+    return settled(external.weather_disruption_score(w.weather()), windspeed_kmh=6)
 
 
 @query
@@ -331,7 +331,7 @@ def supplier_feature_matrix(w: Warehouse) -> DataFrame:
 
 @query
 def anomaly_features(w: Warehouse) -> DataFrame:
-    matrix = features.shipment_matrix(w.enriched_shipments())
+    matrix = features.shipment_codes(w.shipment_ratios())
     return matrix.select("shipment_id", *features.SHIPMENT_FEATURES)
 
 

@@ -25,7 +25,9 @@ class Warehouse:
     # -- staging ---------------------------------------------------------
 
     def suppliers(self, *columns: str) -> DataFrame:
-        return staging.stg_suppliers(self.raw.raw_suppliers(), columns or None)
+        wanted = columns or staging.SUPPLIERS
+        raw = self.raw.raw_suppliers(staging.raw_inputs("supplier_id", wanted))
+        return staging.stg_suppliers(raw, wanted)
 
     def inventory(self, *columns: str) -> DataFrame:
         wanted = columns or staging.INVENTORY
@@ -62,7 +64,9 @@ class Warehouse:
     def enriched_shipments(self) -> DataFrame:
         wanted = ("shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse",
                   "quantity_shipped", "delay_days", "freight_cost_usd", "carrier", "is_disrupted", "status")
-        return shipments.shipment_supplier_enrich(self.shipments(*wanted), self.suppliers())
+        attributes = self.suppliers("supplier_id", "reliability_score", "lead_time_days", "risk_level",
+                                    "annual_spend_usd")
+        return shipments.shipment_supplier_enrich(self.shipments(*wanted), attributes)
 
     def shipment_ratios(self) -> DataFrame:
         return features.shipment_ratios(self.enriched_shipments())
@@ -204,4 +208,4 @@ class Warehouse:
 
     def shipment_anomalies(self) -> DataFrame:
         return self._once("shipment_anomalies", lambda: cut_lineage(
-            anomalies.shipment_anomalies(features.shipment_matrix(self.enriched_shipments()))))
+            anomalies.shipment_anomalies(self.enriched_shipments())))

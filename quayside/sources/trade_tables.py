@@ -56,15 +56,18 @@ class TradeTables:
 
     # -- suppliers, inventory, shipments ---------------------------------
 
-    def raw_suppliers(self) -> DataFrame:
+    def raw_suppliers(self, columns: Iterable[str] = SUPPLIER_COLUMNS) -> DataFrame:
+        wanted = [c for c in SUPPLIER_COLUMNS if c in set(columns)]
         key = F.col("s_suppkey")
         level = (key * 7919) % 10
-        nation = self.table("nation").select("n_nationkey", "n_name")
-        joined = self.table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        columns = {
+        rows = self.table("supplier")
+        if "country" in wanted:
+            nation = self.table("nation").select("n_nationkey", "n_name")
+            rows = rows.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        exprs = {
             "supplier_id": supplier_id("s_suppkey"),
             "supplier_name": F.concat(F.lit(" "), F.col("s_name"), F.lit("  ")),
-            "country": F.concat(F.col("n_name"), F.lit(" ")),
+            "country": F.concat(F.col("n_name"), F.lit(" ")) if "country" in wanted else F.lit(None),
             "contact_email": F.concat(F.lit(" "), F.col("s_name"), F.lit("@Example.COM ")),
             "product_category": F.concat(F.lit("CAT-"), (key % 5).cast("string")),
             "lead_time_days": (7 + key % 84).cast("int"),
@@ -76,7 +79,7 @@ class TradeTables:
             "annual_spend_usd": F.abs("s_acctbal") * 100.0,
             **self._load_columns("supplier.parquet"),
         }
-        return joined.select(*[columns[c].alias(c) for c in SUPPLIER_COLUMNS])
+        return rows.select(*[exprs[c].alias(c) for c in wanted])
 
     def raw_inventory(self, columns: Iterable[str] = INVENTORY_COLUMNS) -> DataFrame:
         wanted = [c for c in INVENTORY_COLUMNS if c in set(columns)]
@@ -149,13 +152,12 @@ class TradeTables:
     def demand_history(self) -> DataFrame:
         """Units asked for per day, sku and warehouse."""
         lines = self.raw_shipments(("scheduled_date", "sku", "destination_warehouse", "quantity_shipped"))
-        return (
-            lines.groupBy(
-                F.date_format("scheduled_date", "yyyy-MM-dd").alias("date"),
-                F.trim("sku").alias("sku"),
-                F.col("destination_warehouse").alias("warehouse"),
-            ).agg(F.sum("quantity_shipped").alias("demand"))
-        )
+        # Days are grouped as days and written as text afterwards, once per group instead of once per line.
+        daily = lines.groupBy("scheduled_date", "sku", "destination_warehouse").agg(
+            F.sum("quantity_shipped").alias("demand"))
+        return daily.select(
+            F.col("scheduled_date").cast("string").alias("date"), F.trim("sku").alias("sku"),
+            F.col("destination_warehouse").alias("warehouse"), "demand")
 
     # -- external signals -------------------------------------------------
 

@@ -49,7 +49,7 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     if wrong:
         return f"{len(wrong)} of {len(actual)} rows differ, first {wrong[0]} ({sorted(names)})"
     kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-             "date": "DATE", "timestamp": "TIMESTAMP"}
+             "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
     off = {c: (t, types[c]) for c, t in df.dtypes if kinds[t] != types[c]}
     return f"types differ: {off}" if off else None
 
