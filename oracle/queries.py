@@ -179,8 +179,8 @@ _BODIES: dict[str, str] = {
         CAST(dense_rank() OVER (ORDER BY carrier) - 1 AS INTEGER) AS carrier_enc,
         CAST(dense_rank() OVER (ORDER BY sku) - 1 AS INTEGER) AS sku_enc,
         CAST(dense_rank() OVER (ORDER BY supplier_risk_level) - 1 AS INTEGER) AS risk_enc FROM shipment_ratios""",
-    "quantile_thresholds": """SELECT cost_limit AS cost_per_unit_q95, quantity_limit AS quantity_shipped_q97
-        FROM reason_limits""",
+    "quantile_thresholds": """SELECT round(cost_limit, 6) AS cost_per_unit_q95,
+        round(quantity_limit, 6) AS quantity_shipped_q97 FROM reason_limits""",
     "reason_flags": """SELECT shipment_id, CASE WHEN met = '' THEN 'MULTIVARIATE_PATTERN' ELSE met END AS reasons
         FROM (SELECT shipment_id, concat_ws(' | ',
             CASE WHEN delay_days > 20 THEN 'SEVERE_DELAY' END,

@@ -68,17 +68,23 @@ def weather_disruption_score(daily: DataFrame) -> DataFrame:
         "weather_risk_tier", tiers.WEATHER_DAY.of("weather_disruption_score"))
 
 
+def _mean(column: str):
+    """Mean by way of a decimal sum, which is the same in any order. Readings have few decimals, so their mean
+    often lies halfway between two rounded values, where the last bit of a sum of doubles would decide."""
+    return F.sum(F.col(column).cast("decimal(28,10)")).cast("double") / F.count(column)
+
+
 def weather_country_summary(scored: DataFrame, run_ts: str) -> DataFrame:
     """Means, maxima and day counts per country. The city is that of the earliest day."""
     return (
         scored.groupBy("country").agg(
             F.min_by("city", "date").alias("city"),
-            half_even(F.avg("weather_disruption_score"), 2).alias("avg_disruption_score"),
+            half_even(_mean("weather_disruption_score"), 2).alias("avg_disruption_score"),
             half_even(F.max("weather_disruption_score"), 2).alias("max_disruption_score"),
             F.count_if(F.col("weather_risk_tier") == "SEVERE").alias("severe_days"),
             F.count_if(F.col("weather_risk_tier") == "WARNING").alias("warning_days"),
-            half_even(F.avg("precipitation_mm"), 2).alias("avg_precipitation_mm"),
-            half_even(F.avg("windspeed_kmh"), 2).alias("avg_windspeed_kmh"),
+            half_even(_mean("precipitation_mm"), 2).alias("avg_precipitation_mm"),
+            half_even(_mean("windspeed_kmh"), 2).alias("avg_windspeed_kmh"),
             F.count("date").alias("days_measured"),
         )
         .withColumn("country_weather_risk", tiers.WEATHER_COUNTRY.of("avg_disruption_score"))
