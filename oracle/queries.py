@@ -65,6 +65,31 @@ _REJECTED = " UNION ALL ".join([
     _rejected("mart_supplier_risk", "risk_level", _LEVELS),
     _rejected("mart_inventory_health", "stock_status", "HEALTHY LOW CRITICAL STOCKOUT")])
 
+_REJECTED_COLUMNS = (
+    "stg_suppliers risk_level", "stg_inventory warehouse", "stg_shipments status", "stg_shipments delay_category",
+    "mart_supplier_risk risk_level", "mart_inventory_health stock_status")
+_UNIQUE_COLUMNS = (
+    "stg_suppliers supplier_id", "stg_inventory inventory_id", "stg_shipments shipment_id",
+    "mart_supplier_risk supplier_id", "mart_inventory_health inventory_id")
+
+
+def _summary() -> str:
+    """All 36 checks: the found violations counted per check, zero where none were found."""
+    parts = [f"SELECT model, column_name, 'not_null' AS check_name, null_count AS violations FROM ({_NULLS})"]
+    for check, columns, found, size in (("unique", _UNIQUE_COLUMNS, _DUPLICATES, "count(*)"),
+                                        ("accepted_values", _REJECTED_COLUMNS, _REJECTED, "sum(occurrences)")):
+        for model, column in (c.split() for c in columns):
+            parts.append(
+                f"SELECT '{model}', '{column}', '{check}', CAST(coalesce((SELECT {size} FROM ({found}) f "
+                f"WHERE f.model = '{model}' AND f.column_name = '{column}'), 0) AS BIGINT)")
+    parts.append("SELECT 'stg_shipments', 'supplier_id', 'relationships', count(*) FROM stg_shipments "
+                 "WHERE supplier_id NOT IN (SELECT supplier_id FROM stg_suppliers)")
+    parts.append("SELECT 'stg_shipments', 'delay_days', 'no_negative_delays', count(*) FILTER (delay_days < 0) "
+                 "FROM stg_shipments")
+    return (f"SELECT *, CASE WHEN violations > 0 THEN 'FAIL' ELSE 'PASS' END AS status "
+            f"FROM ({' UNION ALL '.join(parts)})")
+
+
 _OVERVIEW = """SELECT (SELECT count(*) FROM stg_suppliers) AS total_suppliers,
 (SELECT count(*) FILTER (is_active) FROM stg_suppliers) AS active_suppliers,
 (SELECT round_even(count(*) FILTER (is_disrupted) / count(*)::DOUBLE * 100 * 10, 0) / 10 FROM stg_shipments)
@@ -83,7 +108,7 @@ _BODIES: dict[str, str] = {
             ("raw_shipments", "raw_shipments", 15), ("demand_history", "demand_history", 4),
             ("weather_daily", "weather_scored", 16), ("country_lpi", "lpi", 6),
             ("currency_rates_historical", "fx_history", 3)]),
-    "preview_suppliers": "SELECT * FROM raw_suppliers ORDER BY supplier_id LIMIT 3",
+    "preview": "SELECT * FROM raw_suppliers ORDER BY supplier_id LIMIT 3",
     "preview_inventory": "SELECT * FROM raw_inventory ORDER BY inventory_id LIMIT 3",
     "preview_shipments": "SELECT * FROM raw_shipments ORDER BY shipment_id LIMIT 3",
     "indicator_json_flatten": "SELECT * FROM lpi",
@@ -154,7 +179,7 @@ _BODIES: dict[str, str] = {
         FROM stockout ORDER BY days_until_stockout, sku, warehouse LIMIT 10""",
     "stockout_tier_counts": _counts("stockout", "stockout_risk"),
     # features
-    "label_encode_suppliers": """SELECT s.supplier_id, country, product_category, risk_level, country_enc,
+    "label_encode": """SELECT s.supplier_id, country, product_category, risk_level, country_enc,
         category_enc, risk_enc FROM stg_suppliers s JOIN supplier_codes c ON s.supplier_id = c.supplier_id""",
     "label_encode_shipments": """SELECT shipment_id, origin_country, destination_warehouse, carrier, sku,
         supplier_risk_level, CAST(dense_rank() OVER (ORDER BY origin_country) - 1 AS INTEGER) AS country_enc,
@@ -190,6 +215,7 @@ _BODIES: dict[str, str] = {
             CASE WHEN reliability_score < 0.6 AND is_disrupted THEN 'LOW_RELIABILITY_DISRUPTION' END) AS met
           FROM shipment_ratios CROSS JOIN reason_limits)""",
     # data quality
+    "dq_summary": _summary(),
     "dq_unique": _DUPLICATES,
     "dq_not_null": _NULLS,
     "dq_accepted_values": _REJECTED,
@@ -220,7 +246,8 @@ _BODIES: dict[str, str] = {
         count(*) FILTER (is_disrupted) AS disrupted, round_even(avg(delay_days) * 10, 0) / 10 AS avg_delay_days
         FROM stg_shipments""",
     "delay_category_counts": _counts("stg_shipments", "delay_category"),
-    "carrier_performance": "SELECT carrier, avg(delay_days) AS avg_delay_days FROM stg_shipments GROUP BY 1 ORDER BY 2, 1",
+    "carrier_performance":
+        "SELECT carrier, avg(delay_days) AS avg_delay_days FROM stg_shipments GROUP BY 1 ORDER BY 2, 1",
     "kpi_inventory": """SELECT count(DISTINCT sku) AS skus, count(DISTINCT warehouse) AS warehouses,
         count(*) FILTER (stock_status = 'STOCKOUT') AS stockouts,
         count(*) FILTER (stock_status = 'CRITICAL') AS below_reorder FROM mart_inventory_health""",

@@ -262,12 +262,15 @@ SELECT *, CASE WHEN avg_disruption_score <= 10 THEN 'LOW' WHEN avg_disruption_sc
                AS country_weather_risk, '2024-01-31T00:00:00' AS fetched_at
 FROM (
   SELECT country, min_by(city, date) AS city,
-         round_even(sum(CAST(weather_disruption_score AS DECIMAL(28, 10)))::DOUBLE / count(weather_disruption_score) * 100, 0) / 100 AS avg_disruption_score,
+         round_even(sum(CAST(weather_disruption_score AS DECIMAL(28, 10)))::DOUBLE
+           / count(weather_disruption_score) * 100, 0) / 100 AS avg_disruption_score,
          round_even(max(weather_disruption_score) * 100, 0) / 100 AS max_disruption_score,
          count(*) FILTER (weather_risk_tier = 'SEVERE') AS severe_days,
          count(*) FILTER (weather_risk_tier = 'WARNING') AS warning_days,
-         round_even(sum(CAST(precipitation_mm AS DECIMAL(28, 10)))::DOUBLE / count(precipitation_mm) * 100, 0) / 100 AS avg_precipitation_mm,
-         round_even(sum(CAST(windspeed_kmh AS DECIMAL(28, 10)))::DOUBLE / count(windspeed_kmh) * 100, 0) / 100 AS avg_windspeed_kmh, count(date) AS days_measured
+         round_even(sum(CAST(precipitation_mm AS DECIMAL(28, 10)))::DOUBLE
+           / count(precipitation_mm) * 100, 0) / 100 AS avg_precipitation_mm,
+         round_even(sum(CAST(windspeed_kmh AS DECIMAL(28, 10)))::DOUBLE
+           / count(windspeed_kmh) * 100, 0) / 100 AS avg_windspeed_kmh, count(date) AS days_measured
   FROM weather_scored GROUP BY country)
 """
 

@@ -62,7 +62,8 @@ def draw_samples(numbered: DataFrame, rows: int, trees: int, sample: int, seed:
                         lambda t: _unit(F.col("row_number"), t, F.lit(seed)) < share)
         drawn = numbered.withColumn("tree", F.explode(hits))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("row_number", "tree", F.lit(seed + 2)), "row_number")
-    return by_key(drawn, "tree").withColumn("_pick", F.row_number().over(order)).filter(F.col("_pick") <= sample).drop("_pick")
+    picked = by_key(drawn, "tree").withColumn("_pick", F.row_number().over(order))
+    return picked.filter(F.col("_pick") <= sample).drop("_pick")
 
 
 def _grow_tree(points: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple]:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quayside.session import cut_lineage
 
-# Up to this many distinct values a dictionary is ranked in one task per column and broadcast.
+# Up to this many distinct values and bytes a dictionary is ranked in one task per column and broadcast.
 SMALL_DICTIONARY = 200_000
+SMALL_DICTIONARY_BYTES = 16 << 20
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -24,8 +25,10 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
 def rank_values(values: DataFrame, small: int = SMALL_DICTIONARY) -> tuple[DataFrame, dict[str, int], bool]:
     """(field, value, code), the number of values per field, and whether the whole dictionary is small."""
     values = cut_lineage(values)
-    sizes = {row["field"]: row["count"] for row in values.groupBy("field").count().collect()}  # one row per column
-    if sum(sizes.values()) <= small:
+    measured = values.groupBy("field").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")).collect()  # one row per column
+    sizes = {row["field"]: row["n"] for row in measured}
+    if sum(sizes.values()) <= small and sum(row["bytes"] for row in measured) <= SMALL_DICTIONARY_BYTES:
         order = Window.partitionBy("field").orderBy("value")
         return values.withColumn("code", F.row_number().over(order) - 1), sizes, True
     # Range partitions are in order, so a code is the rows in the partitions before plus the rank within.

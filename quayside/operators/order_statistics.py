@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from math import floor
+from math import floor, isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,9 @@ def column_ranges(df: DataFrame, series: Mapping[str, Column]) -> dict[str, tupl
 def values_at_ranks(df: DataFrame, series: Mapping[str, Column], ranks: Mapping[str, set[int]],
                     ranges: Mapping[str, tuple[int, float, float]]) -> dict[tuple[str, int], float]:
     """The value at each 0-based rank of each series. Values are compared as doubles."""
+    for name in ranks:
+        if not isfinite(float(ranges[name][2]) - float(ranges[name][1])):
+            raise ValueError(f"{name} is not finite")
     searches = [_Rank(name, rank, float(ranges[name][1]), float(ranges[name][2]))
                 for name, wanted in ranks.items() for rank in sorted(wanted)]
     while any(not s.done for s in searches):

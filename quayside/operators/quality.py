@@ -93,3 +93,29 @@ def range_violations(suppliers: DataFrame, risk: DataFrame) -> DataFrame:
         suppliers.groupBy("supplier_id").count().agg(F.count_if(F.col("count") > 1).alias("violations"))
         .select(F.lit("supplier_id_unique").alias("check_name"), "violations")
     ])
+
+
+def check_summary(models: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations and verdict of every check, one row each."""
+    parts = []
+
+    def add(counts: DataFrame, model: str, column: str, check: str) -> None:
+        parts.append(counts.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+                                   F.lit(check).alias("check_name"), F.col("n").alias("violations")))
+
+    for model, key in UNIQUE.items():
+        add(unique_violations(models[model], model, key).agg(F.count("*").alias("n")), model, key, "unique")
+    for model, columns in NOT_NULL.items():
+        parts.append(null_counts(models[model], model, columns).select(
+            "model", "column_name", F.lit("not_null").alias("check_name"), F.col("null_count").alias("violations")))
+    for model, lists in ACCEPTED.items():
+        counted = models[model].agg(*[F.count_if(~F.col(c).isin(*values)).alias(c) for c, values in lists.items()])
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit("accepted_values").alias("check_name"),
+                                  F.col(c).alias("violations")) for c in lists])
+        parts.append(counted.select(F.lit(model).alias("model"), F.inline(rows)))
+    orphans = fk_violations(models["stg_shipments"], models["stg_suppliers"], "supplier_id")
+    add(orphans.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n")), "stg_shipments", "supplier_id",
+        "relationships")
+    add(models["stg_shipments"].agg(F.count_if(F.col("delay_days") < 0).alias("n")), "stg_shipments", "delay_days",
+        "no_negative_delays")
+    return union_all(parts).withColumn("status", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS"))

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators import anomalies, demand, explain, external, features, quality, risk_model, shipments
-from quayside.operators.encoding import label_encode
+from quayside.operators import (
+    anomalies, demand, encoding, explain, external, features, quality, risk_model, shipments,
+)
 from quayside.plans import reports
 from quayside.plans.warehouse import Warehouse
 from quayside.sources import landing, tables
@@ -48,7 +49,7 @@ def load_summary(w: Warehouse) -> DataFrame:
 
 
 @query
-def preview_suppliers(w: Warehouse) -> DataFrame:
+def preview(w: Warehouse) -> DataFrame:
     return tables.preview(w.raw.raw_suppliers(), ["supplier_id"])
 
 
@@ -298,9 +299,9 @@ def demand_forecast(w: Warehouse) -> DataFrame:
 # -- features --------------------------------------------------------------------------
 
 @query
-def label_encode_suppliers(w: Warehouse) -> DataFrame:
+def label_encode(w: Warehouse) -> DataFrame:
     rows = w.suppliers("supplier_id", "country", "product_category", "risk_level")
-    return label_encode(
+    return encoding.label_encode(
         rows, {"country": "country_enc", "product_category": "category_enc", "risk_level": "risk_enc"})
 
 
@@ -308,7 +309,7 @@ def label_encode_suppliers(w: Warehouse) -> DataFrame:
 def label_encode_shipments(w: Warehouse) -> DataFrame:
     rows = w.enriched_shipments().select(
         "shipment_id", "origin_country", "destination_warehouse", "carrier", "sku", "supplier_risk_level")
-    return label_encode(rows, {
+    return encoding.label_encode(rows, {
         "origin_country": "country_enc", "destination_warehouse": "warehouse_enc", "carrier": "carrier_enc",
         "sku": "sku_enc", "supplier_risk_level": "risk_enc"})
 
@@ -528,35 +529,38 @@ def kpi_anomalies(w: Warehouse) -> DataFrame:
 
 # -- data quality -----------------------------------------------------------------------------
 
+def _checked_models(w: Warehouse) -> dict[str, DataFrame]:
+    """The checked models, with the columns that any check reads."""
+    return {
+        "stg_suppliers": w.suppliers(),
+        "stg_inventory": w.inventory(*quality.NOT_NULL["stg_inventory"]),
+        "stg_shipments": w.shipments(*quality.NOT_NULL["stg_shipments"]),
+        "mart_supplier_risk": w.supplier_risk(), "mart_inventory_health": w.inventory_health(),
+    }
+
+
+@query
+def dq_summary(w: Warehouse) -> DataFrame:
+    return quality.check_summary(_checked_models(w))
+
+
 @query
 def dq_unique(w: Warehouse) -> DataFrame:
-    models = {
-        "stg_suppliers": w.suppliers("supplier_id"), "stg_inventory": w.inventory("inventory_id"),
-        "stg_shipments": w.shipments("shipment_id"), "mart_supplier_risk": w.supplier_risk(),
-        "mart_inventory_health": w.inventory_health(),
-    }
+    models = {**_checked_models(w), "stg_shipments": w.shipments("shipment_id")}
     return tables.union_all([
         quality.unique_violations(models[name], name, key) for name, key in quality.UNIQUE.items()])
 
 
 @query
 def dq_not_null(w: Warehouse) -> DataFrame:
-    models = {
-        "stg_suppliers": w.suppliers(), "stg_inventory": w.inventory(*quality.NOT_NULL["stg_inventory"]),
-        "stg_shipments": w.shipments(*quality.NOT_NULL["stg_shipments"]),
-        "mart_supplier_risk": w.supplier_risk(), "mart_inventory_health": w.inventory_health(),
-    }
+    models = _checked_models(w)
     return tables.union_all([
         quality.null_counts(models[name], name, columns) for name, columns in quality.NOT_NULL.items()])
 
 
 @query
 def dq_accepted_values(w: Warehouse) -> DataFrame:
-    models = {
-        "stg_suppliers": w.suppliers(), "stg_inventory": w.inventory("warehouse"),
-        "stg_shipments": w.shipments("status", "delay_category"),
-        "mart_supplier_risk": w.supplier_risk(), "mart_inventory_health": w.inventory_health(),
-    }
+    models = _checked_models(w)
     return tables.union_all([
         quality.rejected_values(models[name], name, lists) for name, lists in quality.ACCEPTED.items()])
 

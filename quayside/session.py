@@ -1,8 +1,9 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings, and the shared folder that holds intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,9 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a frame that several later jobs read, so that a lost executor never replays its inputs."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame that several later jobs read to the shared folder, and read it back.
+
+    A lost executor then never replays the inputs. Being a parquet table, a later pass reads only the columns
+    it needs, and the optimizer knows the size when it picks a join.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -58,3 +58,9 @@ def test_passes_return_bounded_rows(spark, monkeypatch):
     df = spark.range(50_000).select(F.sqrt("id").alias("v"))
     stats.exact_quantiles(df, {"q": (F.col("v"), 0.95)})
     assert max(sizes) <= 2 * 16
+
+
+def test_infinite_values_are_refused(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),)], "v double")
+    with pytest.raises(ValueError):
+        stats.exact_quantiles(df, {"v": (F.col("v"), 0.5)})
