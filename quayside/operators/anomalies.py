@@ -28,7 +28,7 @@ ANOMALY_COLUMNS = (
     "anomaly_severity", "severity_tier", "anomaly_reasons",
 )
 _NODE_SCHEMA = "tree int, node int, feature int, threshold double, child int, length double"
-_CHUNK = 8192
+_CHUNK = 10_000
 
 
 def expected_path(n: float) -> float:

@@ -13,6 +13,7 @@ from quayside.operators import (
 )
 from quayside.plans import reports
 from quayside.plans.warehouse import Warehouse
+from quayside.session import cut_lineage
 from quayside.sources import landing, tables
 from quayside.sources.trade_tables import shipment_rules
 
@@ -307,8 +308,9 @@ def label_encode(w: Warehouse) -> DataFrame:
 
 @query
 def label_encode_shipments(w: Warehouse) -> DataFrame:
-    rows = w.enriched_shipments().select(
-        "shipment_id", "origin_country", "destination_warehouse", "carrier", "sku", "supplier_risk_level")
+    # Stored, because the distinct values are taken in a pass of their own.
+    rows = cut_lineage(w.enriched_shipments().select(
+        "shipment_id", "origin_country", "destination_warehouse", "carrier", "sku", "supplier_risk_level"))
     return encoding.label_encode(rows, {
         "origin_country": "country_enc", "destination_warehouse": "warehouse_enc", "carrier": "carrier_enc",
         "sku": "sku_enc", "supplier_risk_level": "risk_enc"})
@@ -332,7 +334,7 @@ def supplier_feature_matrix(w: Warehouse) -> DataFrame:
 
 @query
 def anomaly_features(w: Warehouse) -> DataFrame:
-    matrix = features.shipment_codes(w.shipment_ratios())
+    matrix = features.shipment_codes(cut_lineage(w.shipment_ratios()))
     return matrix.select("shipment_id", *features.SHIPMENT_FEATURES)
 
 
