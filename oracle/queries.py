@@ -121,10 +121,10 @@ _BODIES: dict[str, str] = {
     "stg_suppliers": "SELECT * FROM stg_suppliers",
     "stg_inventory": "SELECT * FROM stg_inventory",
     "stg_shipments": "SELECT * FROM stg_shipments",
-    "mart_supplier_risk": """SELECT * REPLACE (round(total_freight_cost, 4) AS total_freight_cost)
+    "mart_supplier_risk": """SELECT * REPLACE (round(total_freight_cost, 3) AS total_freight_cost)
         FROM mart_supplier_risk""",
     "mart_inventory_health": "SELECT * FROM mart_inventory_health",
-    "shipment_stats": "SELECT * REPLACE (round(total_freight_cost, 4) AS total_freight_cost) FROM shipment_stats",
+    "shipment_stats": "SELECT * REPLACE (round(total_freight_cost, 3) AS total_freight_cost) FROM shipment_stats",
     "supplier_rate_stats": "SELECT * FROM supplier_rate_stats",
     "supplier_features": "SELECT * FROM supplier_features",
     "shipment_supplier_enrich": "SELECT * FROM enriched_shipments",
@@ -252,7 +252,7 @@ _BODIES: dict[str, str] = {
         count(*) FILTER (stock_status = 'STOCKOUT') AS stockouts,
         count(*) FILTER (stock_status = 'CRITICAL') AS below_reorder FROM mart_inventory_health""",
     "stock_status_counts": _counts("mart_inventory_health", "stock_status"),
-    "warehouse_stock_value": """SELECT warehouse, round(sum(stock_value_usd), 4) AS stock_value_usd
+    "warehouse_stock_value": """SELECT warehouse, round(sum(stock_value_usd), 2) AS stock_value_usd
         FROM stg_inventory GROUP BY 1 ORDER BY 2, 1""",
     "filter_options": "SELECT DISTINCT country FROM stg_suppliers ORDER BY 1",
 }

@@ -28,7 +28,10 @@ def query(build: Query) -> Query:
 
 
 def settled(df: DataFrame, **digits: int) -> DataFrame:
-    """Round sums and means of doubles, whose last bits depend on the order of addition."""
+    """Round sums and means of doubles, whose last bits depend on the order of addition.
+
+    A sum is rounded to the digits its terms have, so that it never lies near the middle of two results.
+    """
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
@@ -114,7 +117,7 @@ def stg_shipments(w: Warehouse) -> DataFrame:
 
 @query
 def mart_supplier_risk(w: Warehouse) -> DataFrame:
-    return settled(w.supplier_risk(), total_freight_cost=4)
+    return settled(w.supplier_risk(), total_freight_cost=3)
 
 
 @query
@@ -125,7 +128,7 @@ def mart_inventory_health(w: Warehouse) -> DataFrame:
 @query
 def shipment_stats(w: Warehouse) -> DataFrame:
     stats = shipments.shipment_stats(w.shipments("supplier_id", "is_disrupted", "delay_days", "freight_cost_usd"))
-    return settled(stats, total_freight_cost=4)
+    return settled(stats, total_freight_cost=3)
 
 
 @query
@@ -652,7 +655,7 @@ def stock_status_counts(w: Warehouse) -> DataFrame:
 
 @query
 def warehouse_stock_value(w: Warehouse) -> DataFrame:
-    return settled(reports.warehouse_stock_value(w.stock()), stock_value_usd=4)
+    return settled(reports.warehouse_stock_value(w.stock()), stock_value_usd=2)
 
 
 @query
