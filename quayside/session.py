@@ -18,13 +18,15 @@ RUNTIME_OPTIONS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Folders made for local sessions; they go away with the process.
+_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime options and make sure a checkpoint folder is set."""
+    """Apply the runtime options."""
     for key, value in RUNTIME_OPTIONS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    checkpoint_dir(spark)
     return spark
 
 
@@ -53,7 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
+        folder = tempfile.TemporaryDirectory(prefix="quayside-", ignore_cleanup_errors=True)
+        _LOCAL_FOLDERS.append(folder)
+        context.setCheckpointDir(folder.name)
         current = context.getCheckpointDir()
     return current
 
