@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from quayside.llm.common import table
+from quayside.llm.encoding import round_trip
+from quayside.llm.exact_dedup import exact_dedup
 
 
 def op7_exact_dedup(spark, folder):
-    from quayside.llm.exact_dedup import exact_dedup
-
     return exact_dedup(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op8_bpe_round_trip(spark, folder):
+    return round_trip(table(spark, folder, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 
 ORACLE_SQL = {
