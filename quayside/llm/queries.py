@@ -5,6 +5,7 @@ from __future__ import annotations
 from quayside.llm.common import table
 from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
+from quayside.llm.pii import find_pii
 
 
 def op7_exact_dedup(spark, folder):
@@ -15,9 +16,14 @@ def op8_bpe_round_trip(spark, folder):
     return round_trip(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op10_pii(spark, folder):
+    return find_pii(table(spark, folder, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL = {
