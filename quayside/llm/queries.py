@@ -6,6 +6,7 @@ from quayside.llm.common import table
 from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
 from quayside.llm.pii import find_pii
+from quayside.llm.quality import classify
 
 
 def op7_exact_dedup(spark, folder):
@@ -16,11 +17,17 @@ def op8_bpe_round_trip(spark, folder):
     return round_trip(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op6_quality(spark, folder):
+    return classify(table(spark, folder, "documents", "doc_id", "text"),
+                    table(spark, folder, "labels", "doc_id", "quality"))
+
+
 def op10_pii(spark, folder):
     return find_pii(table(spark, folder, "documents", "doc_id", "text"))
 
 
 QUERIES = {
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op10_pii": op10_pii,
