@@ -5,6 +5,8 @@ from __future__ import annotations
 from quayside.llm.common import table
 from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
+from quayside.llm.fertility import fertility_rules
+from quayside.llm.language import identify
 from quayside.llm.pii import find_pii
 from quayside.llm.quality import classify
 
@@ -17,6 +19,14 @@ def op8_bpe_round_trip(spark, folder):
     return round_trip(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op1_fertility(spark, folder):
+    return fertility_rules(table(spark, folder, "documents", "doc_id", "text"))
+
+
+def op4_language(spark, folder):
+    return identify(table(spark, folder, "documents", "doc_id", "text", "lang"))
+
+
 def op6_quality(spark, folder):
     return classify(table(spark, folder, "documents", "doc_id", "text"),
                     table(spark, folder, "labels", "doc_id", "quality"))
@@ -27,6 +37,8 @@ def op10_pii(spark, folder):
 
 
 QUERIES = {
+    "op1_fertility": op1_fertility,
+    "op4_language": op4_language,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
