@@ -7,6 +7,7 @@ from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
 from quayside.llm.fertility import fertility_rules
 from quayside.llm.language import identify
+from quayside.llm.packing import pack
 from quayside.llm.pii import find_pii
 from quayside.llm.quality import classify
 
@@ -32,6 +33,10 @@ def op6_quality(spark, folder):
                     table(spark, folder, "labels", "doc_id", "quality"))
 
 
+def op9_packing(spark, folder):
+    return pack(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op10_pii(spark, folder):
     return find_pii(table(spark, folder, "documents", "doc_id", "text"))
 
@@ -42,6 +47,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_packing": op9_packing,
     "op10_pii": op10_pii,
 }
 
