@@ -10,6 +10,7 @@ from quayside.llm.language import identify
 from quayside.llm.packing import pack
 from quayside.llm.pii import find_pii
 from quayside.llm.quality import classify
+from quayside.llm.warc import archive_round_trip
 
 
 def op7_exact_dedup(spark, folder):
@@ -28,6 +29,10 @@ def op4_language(spark, folder):
     return identify(table(spark, folder, "documents", "doc_id", "text", "lang"))
 
 
+def op5_warc(spark, folder):
+    return archive_round_trip(table(spark, folder, "pages", "page_id", "url", "html")).drop("target_uri", "intact")
+
+
 def op6_quality(spark, folder):
     return classify(table(spark, folder, "documents", "doc_id", "text"),
                     table(spark, folder, "labels", "doc_id", "quality"))
@@ -44,6 +49,7 @@ def op10_pii(spark, folder):
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op4_language": op4_language,
+    "op5_warc": op5_warc,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
@@ -52,6 +58,18 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    # Base32 of the digest: five hexadecimal digits are four characters.
+    "op5_warc": r"""
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads)
+        SELECT page_id, octet_length(payload) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+                   (CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INT), 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM firsts""",
     "op7_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, coalesce(text, '') AS text,
