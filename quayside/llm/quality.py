@@ -150,7 +150,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Byt
     counts = {r.quality: r.n for r in marks.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return None
-    rows = docs.select("doc_id", "text").join(marks, "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))
+    # The sample is drawn from the narrow labels; at most 2 * per_class of them meet the texts.
+    h = F.xxhash64("doc_id").alias("h")
+    drawn = [marks.filter(F.col("quality") == q).select("doc_id", "quality", h).orderBy("h", "doc_id").limit(per_class)
+             for q in (0, 1)]
 
     def cut(frames):
         for frame in frames:
@@ -161,9 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Byt
                 kept.append(data[np.sort(rng.permutation(len(data))[:CHUNKS])].tobytes())
             yield pd.DataFrame({"h": frame["h"], "quality": frame["quality"], "data": kept})
 
-    cut_rows = rows.select("h", "quality", "text").mapInPandas(cut, "h long, quality int, data binary")
-    sample = [r for q in (0, 1) for r in
-              cut_rows.filter(F.col("quality") == q).orderBy("h", "data").limit(per_class).collect()]
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+    sample = sorted(rows.select("h", "quality", "text").mapInPandas(
+        cut, "h long, quality int, data binary").orderBy("h", "data").limit(2 * per_class).collect(),
+        key=lambda r: (r.h, r.quality, r.data))
     if len({r.quality for r in sample}) < 2:
         return None
     y = np.array([r.quality for r in sample], float)

@@ -7,6 +7,7 @@ from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
 from quayside.llm.fertility import fertility_rules
 from quayside.llm.language import identify
+from quayside.llm.line_dedup import line_report
 from quayside.llm.ngram_join import ngram_join
 from quayside.llm.packing import pack
 from quayside.llm.pii import find_pii
@@ -30,6 +31,10 @@ def op2_ngram_join(spark, folder):
     return ngram_join(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op3_line_dedup(spark, folder):
+    return line_report(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op4_language(spark, folder):
     return identify(table(spark, folder, "documents", "doc_id", "text", "lang"))
 
@@ -54,6 +59,7 @@ def op10_pii(spark, folder):
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_ngram_join": op2_ngram_join,
+    "op3_line_dedup": op3_line_dedup,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
