@@ -19,6 +19,7 @@ from quayside.llm.components import components
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 8, 4      # a pair at the threshold shares a bucket with probability 0.985, at 0.9 with 0.9998
+RUN = 16                # shingles that are hashed in one row
 BROADCAST_ROWS = 500_000    # at most so many line ids (of 8 bytes) are broadcast to the texts
 
 
@@ -49,14 +50,24 @@ def _starts(units: Column) -> Column:
 
 def signatures(cut: DataFrame) -> DataFrame:
     """``node`` and the minima of its shingles under each permutation, as ``m0`` and so on."""
-    shingled = cut.filter("node IS NOT NULL").select("node", _units(F.col("content")).alias("u")).select(
-        "node", "u", F.explode(_starts(F.col("u"))).alias("at"))
-    hashed = shingled.select("node", F.hash(F.substring("u", F.col("at") + 1, F.lit(2 * SHINGLE))).alias("h"))
+    units = cut.filter("node IS NOT NULL").select("node", _units(F.col("content")).alias("u"))
+    sized = units.withColumn("last", F.greatest(F.octet_length("u") - 2 * SHINGLE, F.lit(0)))
+    # A row per run of shingles, whose minimum is taken within the row: far fewer updates of the aggregate.
+    runs = sized.select("node", "u", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(2 * RUN))).alias("at"))
+
+    def hashed(k: int) -> Column:
+        return F.hash(F.substring("u", F.col("at") + 2 * k + 1, F.lit(2 * SHINGLE)))
+
+    # Behind the last shingle of a line, the first of the run again.
+    shingles = runs.select("node", *(
+        F.when(F.col("at") + 2 * k <= F.col("last"), hashed(k)).otherwise(hashed(0)).alias(f"h{k}")
+        for k in range(RUN)))
     rng = random.Random(5)
     masks = [rng.randrange(-(1 << 31), 1 << 31) for _ in range(BANDS * ROWS)]
     # With a random hash, flipping fixed bits of it is another random order of the shingles.
-    return hashed.groupBy("node").agg(*(
-        F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{k}") for k, mask in enumerate(masks)))
+    return shingles.groupBy("node").agg(*(
+        F.min(F.least(*(F.col(f"h{k}").bitwiseXOR(F.lit(mask)) for k in range(RUN)))).alias(f"m{j}")
+        for j, mask in enumerate(masks)))
 
 
 def buckets(signed: DataFrame) -> DataFrame:
