@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -24,7 +24,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 # Words and pieces of up to this many characters are remembered, this many words in each of two generations (a full one
 # replaces the older) and this many pieces. Any other word is encoded each time it occurs.
-CACHED_WORDS, CACHED_CHARS = 150_000, 40
+CACHED_WORDS, CACHED_CHARS = 300_000, 40
 CACHED_PAIRS = 400_000
 
 _END = "\x00"
@@ -80,7 +80,7 @@ class WordBpe:
             left, right, made = vocab[a], vocab[b], vocab[a + b]
             self._rank[made], self._left[made], self._right[made] = rank, left, right
             self._merged[left, right] = rank
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
         self._cache: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._cache_of_pieces: dict[str, bytes] = {}
@@ -93,9 +93,6 @@ class WordBpe:
     def _may_stand(self, a: int, b: int) -> bool:
         """Whether the merges leave token a next to token b. Undo the later of the two merges again and again; the
         boundary falls if its own merge would have come before the one just undone (at equal rank, the left one)."""
-        found = self._compatible.get((a, b))
-        if found is not None:
-            return found
         first, second, limit, stands = a, b, len(self._rank), True
         while True:
             across = self._merged.get((first, second))
@@ -111,7 +108,7 @@ class WordBpe:
                 limit, second = rb + 1, self._left[second]
         if len(self._compatible) >= CACHED_PAIRS:
             self._compatible.clear()
-        self._compatible[a, b] = stands
+        self._compatible[a << 20 | b] = stands
         return stands
 
     def encode_piece(self, piece: str) -> list[int]:
@@ -120,33 +117,37 @@ class WordBpe:
             piece = piece.encode("utf-8").decode("latin-1").translate(self._symbols)
         spelled = piece + _END
         n = len(spelled)
-        length, shorter = self._length, self._shorter
+        length, shorter, compatible = self._length, self._shorter, self._compatible
         longest = [-1] * (n + 1)
         for end, token in self._automaton.iter(spelled):
             longest[end - length[token] + 1] = token  # later ends come later, so the longest stays
-        dead = bytearray(n + 1)
+        dead: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, last, token = 0, -1, longest[0]
         while at < n:
             while token >= 0:
                 end = at + length[token]
-                if not dead[end] and (not out or self._may_stand(out[-1], token)):
-                    out.append(token)
-                    at, token = end, longest[end]
-                    break
+                if end not in dead:
+                    stands = last < 0 or compatible.get(last << 20 | token)
+                    if stands is None:
+                        stands = self._may_stand(last, token)
+                    if stands:
+                        out.append(token)
+                        at, last, token = end, token, longest[end]
+                        break
                 token = shorter[token]
             else:
-                dead[at] = 1
-                last = out.pop()
-                at -= length[last]
-                token = shorter[last]
+                dead.add(at)
+                token = out.pop()
+                at -= length[token]
+                last, token = out[-1] if out else -1, shorter[token]
         return out
 
     def _piece(self, piece: str) -> bytes:
         found = self._cache_of_pieces.get(piece)
         if found is None:
             ids = self.encode_piece(piece)
-            found = struct.pack(f"<{len(ids)}I", *ids)
+            found = array("I", ids).tobytes()
             if len(piece) <= CACHED_CHARS:
                 if len(self._cache_of_pieces) >= CACHED_WORDS:
                     self._cache_of_pieces.clear()

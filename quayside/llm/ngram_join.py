@@ -88,12 +88,14 @@ def part_keys(tokens: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarra
     return np.concatenate(out).view(np.int64)
 
 
-_PROFILE = "row long, doc_id long, n_shingles long, fp long, keys array<long>"
+_PROFILE = "doc_id long, n_shingles long, fp long, keys array<long>"
 
 
-def profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row the size of the shingle set, its fingerprint (null for the empty set) and its keys."""
+def profiles(docs: DataFrame, n: int, percent: int, *carried: str) -> DataFrame:
+    """Per row the size of the shingle set, its fingerprint (null for the empty set) and its keys, with ``row`` and other
+    long columns carried along."""
     bounds = _bounds(percent)
+    extra = ["row", *carried]
 
     def run(batches):
         for batch in batches:
@@ -104,9 +106,11 @@ def profiles(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 prints.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else None)
                 keys.append(part_keys(tokens, percent, bounds))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(prints, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["row", "doc_id", "n_shingles", "fp", "keys"])
-    return docs.select("row", "doc_id", "text").mapInArrow(run, _PROFILE)
+                [*(batch.column(c) for c in extra), batch.column("doc_id"), pa.array(size, pa.int64()),
+                 pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=[*extra, "doc_id", "n_shingles", "fp", "keys"])
+    schema = ", ".join([*(f"{c} long" for c in extra), _PROFILE])
+    return docs.select(*extra, "doc_id", "text").mapInArrow(run, schema)
 
 
 def candidate_blocks(sets: DataFrame) -> DataFrame:
@@ -198,3 +202,25 @@ def ngram_join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataF
         "doc_id", "n_shingles",
         F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "first_id"))
         .alias("component_id"))
+
+
+def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns kept, of which each group of linked ones keeps the one with the smallest id.
+
+    A group is linked by sets of ``n``-word shingles with the similarity of ``percent``. Documents without words stay.
+    Of repeated rows, equal in id and text, one stays. ``docs`` is read more than once and numbers its rows, so it
+    should be a stored table.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").cast("long").alias("doc_id"),
+                       "text").withColumn("row", F.xxhash64("doc_id", "text"))
+    sets = stored(profiles(rows, n, percent, "number"))
+    linked = stored(link_sets(rows.drop("number"), sets, n, percent))
+    grouped = sets.filter("fp IS NOT NULL").join(linked, F.col("node") == F.col("fp"), "left").select(
+        F.coalesce("component", "fp").alias("group"), "doc_id", "number")
+    # Null ids come last.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number")
+    best = grouped.groupBy("group").agg(F.min(place).alias("best"))
+    kept = best.select(F.col("best.number").alias("__number")).unionByName(
+        sets.filter("fp IS NULL").select(F.col("number").alias("__number")))
+    return docs.withColumn("__number", F.monotonically_increasing_id()).join(kept, "__number", "left_semi").select(
+        *docs.columns)

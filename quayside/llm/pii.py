@@ -14,6 +14,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -321,8 +322,6 @@ def find_pii(docs: DataFrame, model: PiiModel | None = None) -> DataFrame:
 def redact_pii(docs: DataFrame, model: PiiModel | None = None) -> DataFrame:
     """The documents, all columns kept, with every span of personal data in ``text`` replaced by a mark. A null text
     stays null; ``n_chars``, where present, follows the text."""
-    import pandas as pd
-
     model = model or train(docs)
 
     @F.pandas_udf("string")
