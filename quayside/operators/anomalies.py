@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from math import ceil, log2
+from math import ceil, comb, log2
 
 import numpy as np
 import pandas as pd
@@ -17,7 +17,7 @@ from quayside.operators.features import (
     SHIPMENT_FEATURES, reason_flags, reason_thresholds, shipment_codes, shipment_ratios,
 )
 from quayside.operators.order_statistics import exact_quantiles
-from quayside.session import by_key, cut_lineage, spread
+from quayside.session import by_key, cut_lineage
 
 # Forest settings.
 TREES, SAMPLE, CONTAMINATION, SEED = 200, 256, 0.05, 42
@@ -48,19 +48,22 @@ def _unit(*parts: Column) -> Column:
 def draw_samples(numbered: DataFrame, rows: int, trees: int, sample: int, seed: int) -> DataFrame:
     """About ``trees * sample`` rows, each with the tree it belongs to, at most ``sample`` per tree.
 
-    Draws hash the row's own number, not its key, so repeated keys are drawn independently. On large input a
-    row joins at most one tree and costs two hashes; only small input tries every tree for every row. A little
-    more than wanted is drawn, then cut to size inside the (small) tree groups.
+    Draws hash the row's own number, not its key, so repeated keys are drawn independently. The number of trees that
+    draw a row is binomial; one hash against the distribution tells it, and most rows of a large input are drawn by
+    none. A drawn row joins so many distinct trees, those with the smallest hashes. A little more than wanted is
+    drawn, then cut to size inside the (small) tree groups.
     """
-    if rows > 2 * trees * sample:
-        share = 1.4 * trees * sample / rows
-        drawn = numbered.filter(_unit(F.col("row_number"), F.lit(seed)) < share).withColumn(
-            "tree", F.pmod(F.xxhash64(F.col("row_number"), F.lit(seed + 1)), F.lit(trees)).cast("int"))
-    else:
-        share = min(1.0, 1.4 * sample / max(rows, 1))
-        hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
-                        lambda t: _unit(F.col("row_number"), t, F.lit(seed)) < share)
-        drawn = numbered.withColumn("tree", F.explode(hits))
+    share = min(1.0, 1.4 * sample / max(rows, 1))
+    chances = np.array([comb(trees, k) * share**k * (1 - share) ** (trees - k) for k in range(trees)])
+    below = [min(1.0, float(c)) for c in np.cumsum(chances)]  # below[k]: at most k trees draw the row
+    unit = _unit(F.col("row_number"), F.lit(seed))
+    drawn = numbered.withColumn("_unit", unit).filter(F.col("_unit") >= below[0]) if share < 1 else \
+        numbered.withColumn("_unit", F.lit(1.0))
+    many = F.size(F.filter(F.array(*map(F.lit, below)), lambda c: c <= F.col("_unit")))
+    ordered = F.array_sort(F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.struct(F.xxhash64(F.col("row_number"), t, F.lit(seed + 1)).alias("h"), t.alias("tree"))))
+    drawn = drawn.withColumn("tree", F.explode(F.slice(ordered, 1, many)["tree"])).drop("_unit")
     order = Window.partitionBy("tree").orderBy(F.xxhash64("row_number", "tree", F.lit(seed + 2)), "row_number")
     picked = by_key(drawn, "tree").withColumn("_pick", F.row_number().over(order))
     return picked.filter(F.col("_pick") <= sample).drop("_pick")
@@ -144,7 +147,8 @@ def isolation_scores(x: np.ndarray, forest: dict[str, np.ndarray], sample: int)
 def number_rows(df: DataFrame) -> DataFrame:
     """Write the rows once, each with a number. Sampling, scoring and encoding read them in separate passes,
     and a number stays with its row only while nothing recomputes it."""
-    return cut_lineage(df.withColumn("row_number", F.monotonically_increasing_id()))
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism * 2)
+    return cut_lineage(spread.withColumn("row_number", F.monotonically_increasing_id()))
 
 
 def isolation_forest(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE,
@@ -160,7 +164,6 @@ def isolation_forest(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE
             "*", F.lit(1).alias("anomaly_label"), F.lit(0.0).alias("anomaly_score"),
             F.lit(False).alias("is_anomaly"))
     sample = min(sample, rows)
-    matrix = spread(matrix)
     inputs = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SHIPMENT_FEATURES]
     clean = matrix.select("row_number", *[v.alias(c) for v, c in zip(inputs, SHIPMENT_FEATURES)])
     nodes = grow_forest(draw_samples(clean, rows, trees, sample, seed), sample, seed).collect()  # trees x 2 x sample

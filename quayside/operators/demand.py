@@ -72,24 +72,32 @@ def forecast_trend_weekday(history: DataFrame, horizon: int = HORIZON_DAYS) -> D
         F.date_from_unix_date("future").alias("ds"), half_even(trend * index, 1).alias("yhat"), *SERIES)
 
 
+# A series is laid out day by day; a longer span than a century is a mistyped date.
+MAX_DAYS = 36_525
+
+
 def _harmonics(day: np.ndarray, period: float, order: int) -> np.ndarray:
     angle = 2 * np.pi * np.outer(day / period, np.arange(1, order + 1))
     return np.hstack([np.sin(angle), np.cos(angle)])
 
 
-def _season(day: np.ndarray, yearly: bool) -> np.ndarray:
-    weekly = _harmonics(day, 7.0, 3)
-    return np.hstack([weekly, _harmonics(day, 365.25, 10)]) if yearly else weekly
+def _season(day: np.ndarray) -> np.ndarray:
+    return np.hstack([_harmonics(day, 7.0, 3), _harmonics(day, 365.25, 10)])
 
 
 def _fit_series(rows: pd.DataFrame, horizon: int) -> pd.DataFrame:
-    """Ridge least squares of one daily series: a line, and seasonal terms that scale with it."""
+    """Ridge least squares of one daily series: a line, and seasonal terms that scale with it.
+
+    Weekly and yearly terms are fitted at every length; the ridge shrinks what a short series cannot tell apart.
+    """
     day = ((rows["date"].to_numpy(dtype="datetime64[D]") - _EPOCH) / np.timedelta64(1, "D")).astype(int)
     first, last = day.min(), day.max()
+    if last - first >= MAX_DAYS:
+        raise ValueError(f"series {rows['sku'].iloc[0]}, {rows['warehouse'].iloc[0]} spans {last - first + 1} days, "
+                         f"more than {MAX_DAYS}: check its dates")
     y = np.zeros(last - first + 1)
     np.add.at(y, day - first, rows["demand"].to_numpy(dtype=float))
     past, future = np.arange(first, last + 1), np.arange(last + 1, last + 1 + horizon)
-    yearly = len(y) >= 730
     scale = max(y.max(), 1.0)
 
     def line(days: np.ndarray) -> np.ndarray:
@@ -98,14 +106,18 @@ def _fit_series(rows: pd.DataFrame, horizon: int) -> pd.DataFrame:
     level = np.linalg.lstsq(line(past), y / scale, rcond=None)[0]
 
     def design(days: np.ndarray) -> np.ndarray:
-        return np.hstack([line(days), (line(days) @ level)[:, None] * _season(days, yearly)])
+        return np.hstack([line(days), (line(days) @ level)[:, None] * _season(days)])
 
     x = design(past)
     # The line is free, the seasonal terms are shrunk.
     ridge = np.diag([1e-9, 1e-9] + [1e-2] * (x.shape[1] - 2))
-    weights = np.linalg.solve(x.T @ x + ridge, x.T @ (y / scale))
-    spread = 1.96 * (y - x @ weights * scale).std()
-    yhat = design(future) @ weights * scale
+    normal = x.T @ x + ridge
+    weights = np.linalg.solve(normal, x.T @ (y / scale))
+    ahead = design(future)
+    # The interval widens with the uncertainty of the fitted terms away from the data.
+    leverage = np.einsum("ij,ji->i", ahead, np.linalg.solve(normal, ahead.T)).clip(min=0)
+    spread = 1.96 * (y - x @ weights * scale).std() * np.sqrt(1 + leverage)
+    yhat = ahead @ weights * scale
     return pd.DataFrame({
         "ds": (_EPOCH + future.astype("timedelta64[D]")).astype("datetime64[ns]"),
         "yhat": yhat.clip(min=0).round(1), "yhat_lower": (yhat - spread).clip(min=0).round(1),

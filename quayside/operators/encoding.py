@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from quayside.session import cut_lineage
 
-# Up to this many distinct values and bytes a dictionary is ranked in one task per column and broadcast.
-SMALL_DICTIONARY = 200_000
-SMALL_DICTIONARY_BYTES = 16 << 20
-
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """(field, value) pairs that occur, for all columns in one pass; duplicates go map-side."""
@@ -22,34 +18,28 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def rank_values(values: DataFrame, small: int = SMALL_DICTIONARY) -> tuple[DataFrame, dict[str, int], bool]:
-    """(field, value, code), the number of values per field, and whether the whole dictionary is small."""
-    values = cut_lineage(values)
-    measured = values.groupBy("field").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")).collect()  # one row per column
-    sizes = {row["field"]: row["n"] for row in measured}
-    if sum(sizes.values()) <= small and sum(row["bytes"] for row in measured) <= SMALL_DICTIONARY_BYTES:
-        order = Window.partitionBy("field").orderBy("value")
-        return values.withColumn("code", F.row_number().over(order) - 1), sizes, True
+def rank_values(values: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """(field, value, code) and the number of values per field."""
     # Range partitions are in order, so a code is the rows in the partitions before plus the rank within.
     # The partition numbers are written down, because a second sampling could choose other boundaries.
     ranged = cut_lineage(
         values.repartitionByRange("field", "value").withColumn("slice", F.spark_partition_id()))
     slices = ranged.groupBy("field", "slice").agg(F.count("*").alias("n"))
+    sizes = {row["field"]: row["n"] for row in slices.groupBy("field").agg(F.sum("n").alias("n")).collect()}
     before = Window.partitionBy("field").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select("field", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("field", "slice").orderBy("value")
     ranked = ranged.withColumn("position", F.row_number().over(within) - 1).join(offsets, ["field", "slice"])
     codes = ranked.select("field", "value", (F.col("offset") + F.col("position")).cast("int").alias("code"))
-    return codes, sizes, False
+    return cut_lineage(codes), sizes  # stored, so that the optimizer knows its size when it joins
 
 
-def label_encode(df: DataFrame, columns: Mapping[str, str], small: int = SMALL_DICTIONARY) -> DataFrame:
+def label_encode(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Add a code column per ``source -> target``. A null is coded after all values."""
-    codes, sizes, is_small = rank_values(distinct_values(df, list(columns)), small)
+    codes, sizes = rank_values(distinct_values(df, list(columns)))
     for source, target in columns.items():
         dictionary = codes.filter(F.col("field") == source).select(
             F.col("value").alias(source), F.col("code").alias(target))
-        df = df.join(F.broadcast(dictionary) if is_small else dictionary, source, "left")
+        df = df.join(dictionary, source, "left")
         df = df.withColumn(target, F.coalesce(target, F.lit(sizes.get(source, 0))))
     return df

@@ -74,12 +74,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a stored frame with few partitions; a frame with enough of them is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Gather groups for Python work. The stated partition number keeps adaptive execution from merging the
     (small, but slow to process) partitions; grouping by the same keys afterwards needs no further exchange."""
