@@ -78,13 +78,12 @@ def buckets(signed: DataFrame) -> DataFrame:
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have the similarity."""
-    def tokens(name: str) -> Column:
-        units = _units(F.col(name))
+    def tokens(units: str) -> Column:
         return F.array_distinct(F.transform(
-            _starts(units), lambda at: F.xxhash64(F.substring(units, at + 1, F.lit(2 * SHINGLE)))))
+            _starts(F.col(units)), lambda at: F.xxhash64(F.substring(F.col(units), at + 1, F.lit(2 * SHINGLE)))))
 
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("content").alias("x")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("content").alias("y")), "b")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("units").alias("x")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
     # The lengths bound nothing, as shingles repeat; the sets decide.
     sets = both.select("a", "b", tokens("x").alias("x"), tokens("y").alias("y"))
     same = F.size(F.array_intersect("x", "y"))
@@ -93,11 +92,12 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _texts(cut: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One content per node."""
+    """The characters of one line per node, two bytes each."""
     nodes = stored(nodes)
     few = nodes.count() <= BROADCAST_ROWS
     found = cut.select("node", "content").join(F.broadcast(nodes) if few else nodes, "node")
-    return stored(found.groupBy("node").agg(F.first("content").alias("content")))
+    return stored(found.groupBy("node").agg(F.first("content").alias("content")).select(
+        "node", _units(F.col("content")).alias("units")))
 
 
 def line_components(cut: DataFrame) -> DataFrame:
