@@ -97,6 +97,16 @@ _OVERVIEW = """SELECT (SELECT count(*) FROM stg_suppliers) AS total_suppliers,
 (SELECT count(*) FROM mart_inventory_health WHERE stock_status = 'STOCKOUT') AS stockouts,
 (SELECT count(*) FROM mart_inventory_health WHERE stock_status IN ('STOCKOUT', 'CRITICAL')) AS stock_alerts"""
 
+_MATRIX = """SELECT f.supplier_id, reliability_score, lead_time_days,
+        CAST(is_active AS INTEGER) AS is_active_int, annual_spend_usd, total_shipments, disrupted_shipments,
+        avg_delay_days, max_delay_days, disruption_rate_pct, country_enc, category_enc, risk_enc,
+        CAST(disruption_rate_pct > 20 OR risk_level IN ('HIGH', 'CRITICAL') AS INTEGER) AS target
+        FROM supplier_features f JOIN supplier_codes c ON f.supplier_id = c.supplier_id"""
+
+_RULE = f"""SELECT *, CASE WHEN score > 0.4 THEN 'HIGH' WHEN score > 0.2 THEN 'MEDIUM' ELSE 'LOW' END AS tier
+    FROM (SELECT f.*, m.target, round(1 - f.reliability_score, 2) AS score
+          FROM supplier_features f JOIN ({_MATRIX}) m USING (supplier_id))"""
+
 _BODIES: dict[str, str] = {
     # loading
     "ingest_metadata": "SELECT *, '2024-01-31T00:00:00' AS _ingested_at, 'orders.parquet' AS _source_file FROM orders",
@@ -192,11 +202,62 @@ _BODIES: dict[str, str] = {
         FROM supplier_features""",
     "target_distribution": """SELECT CAST(disruption_rate_pct > 20 OR risk_level IN ('HIGH', 'CRITICAL') AS INTEGER)
         AS target, count(*) AS suppliers FROM supplier_features GROUP BY 1""",
-    "supplier_feature_matrix": """SELECT f.supplier_id, reliability_score, lead_time_days,
-        CAST(is_active AS INTEGER) AS is_active_int, annual_spend_usd, total_shipments, disrupted_shipments,
-        avg_delay_days, max_delay_days, disruption_rate_pct, country_enc, category_enc, risk_enc,
-        CAST(disruption_rate_pct > 20 OR risk_level IN ('HIGH', 'CRITICAL') AS INTEGER) AS target
-        FROM supplier_features f JOIN supplier_codes c ON f.supplier_id = c.supplier_id""",
+    "supplier_feature_matrix": _MATRIX,
+    "rule_confusion_matrix": f"""SELECT label, prediction, count(guess) AS suppliers
+        FROM (SELECT unnest([0, 0, 1, 1]) AS label, unnest([0, 1, 0, 1]) AS prediction) cells
+        LEFT JOIN (SELECT target, (score > 0.25)::INTEGER AS guess FROM ({_RULE})) scored
+            ON target = label AND guess = prediction
+        GROUP BY ALL""",
+    "rule_classification_metrics": f"""SELECT * FROM (
+        WITH scored AS (SELECT target, (score > 0.25)::INTEGER AS guess FROM ({_RULE})),
+        classes AS (
+            SELECT c, count(*) FILTER (target = c AND guess = c)::DOUBLE AS hit,
+                   count(*) FILTER (target = c)::DOUBLE AS actual, count(*) FILTER (guess = c)::DOUBLE AS guessed
+            FROM scored, (VALUES (0), (1)) t(c) GROUP BY c),
+        rates AS (
+            SELECT c, hit, actual, if(guessed > 0, hit / guessed, 0) AS p, if(actual > 0, hit / actual, 0) AS r,
+                   if(hit > 0, 2 * hit / (guessed + actual), 0) AS f
+            FROM classes),
+        rows AS (
+            SELECT if(c = 1, 'High Risk', 'Low Risk') AS label, p, r, f, actual AS n FROM rates
+            UNION ALL SELECT 'accuracy', sum(hit) / sum(actual), sum(hit) / sum(actual), sum(hit) / sum(actual),
+                   sum(actual) FROM rates
+            UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(actual) FROM rates
+            UNION ALL SELECT 'weighted avg', sum(p * actual) / sum(actual), sum(r * actual) / sum(actual),
+                   sum(f * actual) / sum(actual), sum(actual) FROM rates)
+        SELECT label, round(p, 9) AS precision, round(r, 9) AS recall, round(f, 9) AS f1_score, n::BIGINT AS support
+        FROM rows)""",
+    # The share of pairs of both classes in the right order, ties counting half.
+    "rule_roc_auc": f"""SELECT * FROM (
+        WITH levels AS (
+            SELECT score, count(*) FILTER (target = 1) AS high, count(*) FILTER (target = 0) AS low
+            FROM ({_RULE}) GROUP BY score)
+        SELECT round((SELECT sum(a.high * b.low * if(a.score > b.score, 1.0::DOUBLE, if(a.score = b.score, 0.5, 0)))
+                      FROM levels a, levels b) / (sum(high) * sum(low)), 9) AS roc_auc
+        FROM levels)""",
+    "rule_risk_tier_summary": f"""SELECT tier AS risk_tier, count(*) AS supplier_count,
+        round(avg(score), 3) AS avg_risk_prob, round(avg(disruption_rate_pct), 1) AS avg_disruption_rate
+        FROM ({_RULE}) GROUP BY 1""",
+    "rule_top5_risky_suppliers": f"""SELECT supplier_id, supplier_name, country, tier AS risk_tier,
+        score AS risk_probability, disruption_rate_pct FROM ({_RULE}) ORDER BY score DESC, supplier_id LIMIT 5""",
+    "rule_risk_tier_counts": _counts(f"({_RULE})", "tier").replace("tier", "tier AS risk_tier", 1),
+    # An exact quarter of the suppliers, shared out to the classes by largest remainder, by least hash.
+    "stratified_split": f"""SELECT * FROM (
+        WITH labelled AS (
+            SELECT supplier_id, target, ('0x' || substr(md5(supplier_id || '|42'), 1, 13))::BIGINT AS number
+            FROM ({_MATRIX})),
+        sizes AS (
+            SELECT target, count(*) AS n, sum(count(*)) OVER () AS total, ceil(0.25 * sum(count(*)) OVER ()) AS wanted
+            FROM labelled GROUP BY target),
+        shares AS (
+            SELECT *, floor(n * wanted / total) AS whole, n * wanted / total - floor(n * wanted / total) AS part
+            FROM sizes),
+        quotas AS (
+            SELECT target, whole + if(row_number() OVER (ORDER BY part DESC, target)
+                                      <= wanted - sum(whole) OVER (), 1, 0) AS quota
+            FROM shares)
+        SELECT supplier_id, target, row_number() OVER (PARTITION BY target ORDER BY number) <= quota AS is_test
+        FROM labelled JOIN quotas USING (target))""",
     "anomaly_features": """SELECT shipment_id, delay_days, freight_cost_usd, quantity_shipped, reliability_score,
         supplier_lead_time, cost_per_unit, delay_ratio, CAST(is_disrupted AS INTEGER) AS is_disrupted_int,
         CAST(dense_rank() OVER (ORDER BY origin_country) - 1 AS INTEGER) AS country_enc,

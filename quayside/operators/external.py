@@ -68,16 +68,26 @@ def weather_disruption_score(daily: DataFrame) -> DataFrame:
         "weather_risk_tier", tiers.WEATHER_DAY.of("weather_disruption_score"))
 
 
+WINDOW_DAYS = 30
+
+
+def last_days(rows: DataFrame, key: str, days: int) -> DataFrame:
+    """The rows of the last days before each key's latest one; a key has one row per calendar day and place."""
+    latest = F.max("date").over(Window.partitionBy(key))
+    return rows.withColumn("_latest", latest).filter(
+        F.col("date") >= F.date_sub("_latest", days)).drop("_latest")
+
+
 def _mean(column: str):
     """Mean by way of a decimal sum, which is the same in any order. Readings have few decimals, so their mean
     often lies halfway between two rounded values, where the last bit of a sum of doubles would decide."""
     return F.sum(F.col(column).cast("decimal(28,10)")).cast("double") / F.count(column)
 
 
-def weather_country_summary(scored: DataFrame, run_ts: str) -> DataFrame:
-    """Means, maxima and day counts per country. The city is that of the earliest day."""
+def weather_country_summary(scored: DataFrame, run_ts: str, days: int = WINDOW_DAYS) -> DataFrame:
+    """Means, maxima and day counts per country over its last days. The city is that of the earliest of them."""
     return (
-        scored.groupBy("country").agg(
+        last_days(scored, "country", days).groupBy("country").agg(
             F.min_by("city", "date").alias("city"),
             half_even(_mean("weather_disruption_score"), 2).alias("avg_disruption_score"),
             half_even(F.max("weather_disruption_score"), 2).alias("max_disruption_score"),
@@ -94,8 +104,9 @@ def weather_country_summary(scored: DataFrame, run_ts: str) -> DataFrame:
 
 # -- exchange rates ------------------------------------------------------------
 
-def fx_daily_returns(history: DataFrame) -> DataFrame:
-    """Relative change from the day before, per currency. A currency has one row per calendar day."""
+def fx_daily_returns(history: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
+    """Relative change from the day before, per currency, over its last days. A currency has one row per calendar day."""
+    history = last_days(history, "currency_code", days)
     by_day = Window.partitionBy("currency_code").orderBy("date")
     before = F.lag("rate_vs_usd").over(by_day)
     return (
@@ -105,9 +116,9 @@ def fx_daily_returns(history: DataFrame) -> DataFrame:
     )
 
 
-def fx_first_last(history: DataFrame) -> DataFrame:
-    """Rate at both ends of the window and the change between them in percent."""
-    ends = history.groupBy("currency_code").agg(
+def fx_first_last(history: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
+    """Rate at both ends of the last days and the change between them in percent."""
+    ends = last_days(history, "currency_code", days).groupBy("currency_code").agg(
         F.min_by("rate_vs_usd", "date").alias("first_rate"), F.max_by("rate_vs_usd", "date").alias("last_rate"),
         F.count("*").alias("points"),
     )

@@ -99,8 +99,9 @@ def stratified_split(df: DataFrame, key: str, target: str, share: float = 0.25,
     A row is in the test set when the hash of its key is among the smallest of its class. The cut-off is
     found as an order statistic, so no class is ever sorted in one task.
     """
-    # 52 bits, so that a double holds the hash exactly.
-    number = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 12).cast("double")
+    # 13 hexadecimal digits are 52 bits, so that a double holds the hash exactly.
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    number = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     hashed = df.withColumn("_hash", number)
     classes = [row[target] for row in df.select(target).distinct().orderBy(target).collect()]  # two classes
     series = {str(c): F.when(F.col(target) == c, F.col("_hash")) for c in classes}

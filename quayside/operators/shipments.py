@@ -43,15 +43,18 @@ def supplier_features(suppliers: DataFrame, shipments: DataFrame) -> DataFrame:
     )
 
 
+ENRICHED = (
+    "shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse", "quantity_shipped", "delay_days",
+    "freight_cost_usd", "carrier", "is_disrupted", "status", "reliability_score", "supplier_lead_time",
+    "supplier_risk_level", "annual_spend_usd",
+)
+
+
 def shipment_supplier_enrich(shipments: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Shipments with the attributes of their supplier."""
+    """Shipments, with the columns they come with, and the attributes of their supplier."""
     attributes = suppliers.select(
         "supplier_id", "reliability_score", F.col("lead_time_days").alias("supplier_lead_time"),
         F.col("risk_level").alias("supplier_risk_level"), "annual_spend_usd",
     )
-    return shipments.join(attributes, "supplier_id", "left").select(
-        "shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse", "quantity_shipped",
-        "delay_days", "freight_cost_usd", "carrier", "is_disrupted", "status", "reliability_score",
-        "supplier_lead_time", "supplier_risk_level", "annual_spend_usd",
-    )
-
+    joined = shipments.join(attributes, "supplier_id", "left")
+    return joined.select([c for c in ENRICHED if c in joined.columns])

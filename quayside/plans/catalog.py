@@ -14,7 +14,7 @@ from quayside.operators import (
 from quayside.plans import reports
 from quayside.plans.warehouse import Warehouse
 from quayside.session import cut_lineage
-from quayside.sources import landing, tables
+from quayside.sources import feeds, landing, tables, trade_tables
 from quayside.sources.trade_tables import shipment_rules
 
 Query = Callable[[Warehouse], DataFrame]
@@ -44,11 +44,15 @@ def ingest_metadata(w: Warehouse) -> DataFrame:
 
 @query
 def load_summary(w: Warehouse) -> DataFrame:
+    derived = {
+        "demand_history": w.demand_history(), "weather_daily": w.weather_scored(),
+        "country_lpi": external.minmax_normalise(w.lpi()), "currency_rates_historical": w.fx_history(),
+    }
     return tables.load_summary({
-        "raw_suppliers": w.raw.raw_suppliers(), "raw_inventory": w.raw.raw_inventory(),
-        "raw_shipments": w.raw.raw_shipments(), "demand_history": w.demand_history(),
-        "weather_daily": w.weather_scored(), "country_lpi": external.minmax_normalise(w.lpi()),
-        "currency_rates_historical": w.fx_history(),
+        "raw_suppliers": (w.raw.raw_suppliers(["supplier_id"]), len(trade_tables.SUPPLIER_COLUMNS)),
+        "raw_inventory": (w.raw.raw_inventory(["inventory_id"]), len(trade_tables.INVENTORY_COLUMNS)),
+        "raw_shipments": (w.raw.raw_shipments(["shipment_id"]), len(trade_tables.SHIPMENT_COLUMNS)),
+        **{name: (df, len(df.columns)) for name, df in derived.items()},
     })
 
 
@@ -275,6 +279,12 @@ def stockout_risk(w: Warehouse) -> DataFrame:
     return settled(w.stockout(), forecasted_demand_90d=4, avg_daily_demand=6)
 
 
+@query
+def stockout_risk_model(w: Warehouse) -> DataFrame:
+    """Stockout risk at the pace of the seasonal model's forecast."""
+    return settled(w.model_stockout(), forecasted_demand_90d=4, avg_daily_demand=6)
+
+
 @query
 def stockout_summary(w: Warehouse) -> DataFrame:
     return demand.stockout_summary(w.stockout())
@@ -352,7 +362,8 @@ def quantile_thresholds(w: Warehouse) -> DataFrame:
 
 @query
 def reason_flags(w: Warehouse) -> DataFrame:
-    return w.shipment_ratios().select(
+    needed = ("quantity_shipped", "delay_days", "freight_cost_usd", "is_disrupted")
+    return w.shipment_ratios(*needed).select(
         "shipment_id", features.reason_flags(w.reason_thresholds()).alias("reasons"))
 
 
@@ -383,6 +394,38 @@ def confusion_matrix(w: Warehouse) -> DataFrame:
     return risk_model.confusion_matrix(w.test_predictions())
 
 
+# The same reports on a score in closed form, unreliability, which the check statements can compute.
+
+@query
+def rule_confusion_matrix(w: Warehouse) -> DataFrame:
+    return risk_model.confusion_matrix(w.rule_scores())
+
+
+@query
+def rule_classification_metrics(w: Warehouse) -> DataFrame:
+    return settled(risk_model.classification_metrics(w.rule_scores()), precision=9, recall=9, f1_score=9)
+
+
+@query
+def rule_roc_auc(w: Warehouse) -> DataFrame:
+    return settled(risk_model.roc_auc(w.rule_scores()), roc_auc=9)
+
+
+@query
+def rule_risk_tier_summary(w: Warehouse) -> DataFrame:
+    return risk_model.risk_tier_summary(w.rule_scores())
+
+
+@query
+def rule_top5_risky_suppliers(w: Warehouse) -> DataFrame:
+    return risk_model.top5_risky_suppliers(w.rule_scores())
+
+
+@query
+def rule_risk_tier_counts(w: Warehouse) -> DataFrame:
+    return reports.value_counts(w.rule_scores(), "risk_tier")
+
+
 @query
 def feature_importance_top5(w: Warehouse) -> DataFrame:
     return risk_model.feature_importance(w.risk_model(), w.spark).limit(5)
@@ -595,8 +638,9 @@ def dq_range(w: Warehouse) -> DataFrame:
 @query
 def health_check(w: Warehouse) -> DataFrame:
     return tables.health_check({
-        "raw.raw_suppliers": w.raw.raw_suppliers(), "raw.raw_shipments": w.raw.raw_shipments(),
-        "raw.raw_inventory": w.raw.raw_inventory(), "predictions.supplier_risk_scores": w.risk_scores(),
+        "raw.raw_suppliers": w.raw.raw_suppliers(["supplier_id"]),
+        "raw.raw_shipments": w.raw.raw_shipments(["shipment_id"]),
+        "raw.raw_inventory": w.raw.raw_inventory(["inventory_id"]), "predictions.supplier_risk_scores": w.risk_scores(),
     })
 
 

@@ -13,14 +13,15 @@ from quayside.session import configure, cut_lineage
 from quayside.sources import feeds
 from quayside.sources.trade_tables import TradeTables
 
-# Trained models and prediction tables of this process, by application and folder.
-_BUILT: dict[tuple[str, str, str], object] = {}
+# Trained models and prediction tables of this process, by application, run, state of the tables and name.
+_BUILT: dict[tuple, object] = {}
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.raw = TradeTables(spark, folder)
+        self._state: int | None = None
 
     # -- staging ---------------------------------------------------------
 
@@ -61,15 +62,16 @@ class Warehouse:
     def supplier_features(self) -> DataFrame:
         return shipments.supplier_features(self.suppliers(), self._stats_input())
 
-    def enriched_shipments(self) -> DataFrame:
-        wanted = ("shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse",
+    def enriched_shipments(self, *columns: str) -> DataFrame:
+        """Shipments, all columns or the named ones, with their supplier's attributes."""
+        wanted = ("shipment_id", "supplier_id", *columns) if columns else ("shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse",
                   "quantity_shipped", "delay_days", "freight_cost_usd", "carrier", "is_disrupted", "status")
         attributes = self.suppliers("supplier_id", "reliability_score", "lead_time_days", "risk_level",
                                     "annual_spend_usd")
         return shipments.shipment_supplier_enrich(self.shipments(*wanted), attributes)
 
-    def shipment_ratios(self) -> DataFrame:
-        return features.shipment_ratios(self.enriched_shipments())
+    def shipment_ratios(self, *columns: str) -> DataFrame:
+        return features.shipment_ratios(self.enriched_shipments(*columns))
 
     def reason_thresholds(self) -> dict[str, float | None]:
         # Cost per unit needs neither supplier nor order, so the passes read the line table alone.
@@ -172,18 +174,42 @@ class Warehouse:
         stock = self.inventory("sku", "warehouse", "quantity_on_hand", "reorder_point")
         return demand.stockout_risk(self.trend_forecast(), stock)
 
+    def model_stockout(self) -> DataFrame:
+        stock = self.inventory("sku", "warehouse", "quantity_on_hand", "reorder_point")
+        return demand.stockout_risk(demand.demand_forecast(self.demand_history()), stock)
+
     # -- predictions, built once and stored -------------------------------------------
 
     def _once(self, name: str, build: Callable[[], object]):
-        key = (self.spark.sparkContext.applicationId, self.raw.folder, name)
+        key = (self.spark.sparkContext.applicationId, self.raw.folder, str(self.raw.as_of), self.raw.run_ts,
+               self._tables_state(), name)
         if key not in _BUILT:
             _BUILT[key] = build()
         return _BUILT[key]
 
+    def _tables_state(self) -> int:
+        """A hash of the paths, sizes and times of the tables' files; their content is not read."""
+        if self._state is None:
+            files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+                "recursiveFileLookup", "true").load(self.raw.folder)
+            self._state = files.agg(F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()[0]
+        return self._state
+
     def supplier_matrix(self) -> DataFrame:
         return self._once("supplier_matrix", lambda: cut_lineage(
             features.supplier_matrix(self.supplier_features())))
 
+    def rule_scores(self) -> DataFrame:
+        """Suppliers scored by their unreliability instead of a model."""
+        score = F.round(1 - F.col("reliability_score"), 2)
+        target = self.supplier_matrix().select("supplier_id", "target")
+        return self.supplier_features().join(target, "supplier_id").withColumn("risk_probability", score).withColumns({
+            "probability_high": F.col("risk_probability"),
+            "predicted_risk": (F.col("risk_probability") > 0.25).cast("int"),
+            "risk_tier": F.when(F.col("risk_probability") > 0.4, "HIGH").when(
+                F.col("risk_probability") > 0.2, "MEDIUM").otherwise("LOW"),
+        })
+
     def split_matrix(self) -> DataFrame:
         return self._once("split_matrix", lambda: cut_lineage(
             features.stratified_split(self.supplier_matrix(), "supplier_id", "target")))

@@ -51,12 +51,13 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def load_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row and column count of each table, by name."""
+def load_summary(tables: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Row and column count of each table, by name. A table comes as any frame with its rows, such as its key alone,
+    and the number of its columns, which the schema tells."""
     return union_all([
         df.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"))
-        for name, df in tables.items()
+            F.lit(name).alias("table_name"), "row_count", F.lit(columns).alias("column_count"))
+        for name, (df, columns) in tables.items()
     ]).orderBy("table_name")
 
 

@@ -74,3 +74,36 @@ def test_stockout_without_inventory(spark):
     inventory = spark.createDataFrame([], "sku string, warehouse string, quantity_on_hand int, reorder_point int")
     row = demand.stockout_risk(forecast(spark, [("A", "W", 2.0)]), inventory).first()
     assert (row.current_stock, row.reorder_point, row.days_until_stockout, row.stockout_risk) == (0, 100.0, 0.0, "CRITICAL")
+
+
+def test_yearly_terms_at_every_length():
+    """The season is modelled below two years, too: one day more or less does not change the model."""
+    import numpy as np
+    import pandas as pd
+
+    from quayside.operators.demand import _fit_series
+
+    rng, errors = np.random.default_rng(1), {}
+    for n in (365, 729, 730):
+        day = np.arange(n + 90)
+        truth = 50 + 20 * np.sin(2 * np.pi * day / 365.25)
+        rows = pd.DataFrame({"date": pd.Timestamp(2022, 1, 1) + pd.to_timedelta(day[:n], unit="D"), "sku": "s",
+                             "warehouse": "w", "demand": truth[:n] + 5 * rng.standard_normal(n)})
+        found = _fit_series(rows, 90)
+        errors[n] = float(np.abs(found["yhat"] - truth[n:]).mean())
+        width = (found["yhat_upper"] - found["yhat_lower"]).to_numpy()
+        if n == 365:  # the interval widens away from the data
+            assert width[-30:].mean() > width[:30].mean()
+    assert errors[365] < 15 and errors[729] < 6 and abs(errors[730] - errors[729]) < 1.5, errors
+
+
+def test_a_mistyped_date_is_refused():
+    import pandas as pd
+    import pytest
+
+    from quayside.operators.demand import _fit_series
+
+    rows = pd.DataFrame({"date": pd.to_datetime(["2022-01-01", "2200-01-01"]), "sku": "s", "warehouse": "w",
+                         "demand": [1.0, 2.0]})
+    with pytest.raises(ValueError, match="check its dates"):
+        _fit_series(rows, 90)

@@ -98,3 +98,16 @@ def test_fx_volatility_edges(spark):
     assert many.currency_risk_score == round(5 + round(spread, 4) * 10, 2)
     high = external.filter_high_fx(external.fx_volatility(current, past, RUN)).collect()
     assert {r.country for r in high} == {"Two", "Many"}
+
+
+def test_rates_of_the_last_days_only(spark):
+    import datetime as dt
+
+    from quayside.operators.external import fx_daily_returns, fx_first_last
+
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=k), "EUR", 1.0 + k) for k in range(120)]
+    history = spark.createDataFrame(rows, "date date, currency_code string, rate_vs_usd double")
+    ends = fx_first_last(history).first()
+    assert (ends.points, ends.first_rate, ends.last_rate) == (31, 90.0, 120.0)
+    assert fx_first_last(history, days=5).first().points == 6
+    assert fx_daily_returns(history).count() == 30

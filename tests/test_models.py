@@ -139,3 +139,19 @@ def test_repeated_shipment_ids_do_not_multiply(spark):
         "delay_ratio double, reliability_score double, is_disrupted boolean")
     out = anomalies.anomaly_reasons(df, {"cost_per_unit": 1.0, "quantity_shipped": 5.0}).collect()
     assert sorted(r.anomaly_reasons for r in out) == ["NORMAL", "SEVERE_DELAY"]
+
+
+def test_one_sampling_law_at_every_size(spark):
+    """Trees get their sample, and a row may join several trees, below and above the old size switch."""
+    from pyspark.sql import functions as F
+
+    from quayside.operators.anomalies import draw_samples
+
+    trees, sample = 20, 16
+    for rows in (10, 200, 600, 700, 5000):
+        numbered = spark.range(rows).withColumnRenamed("id", "row_number")
+        drawn = draw_samples(numbered, rows, trees, min(sample, rows), 1)
+        per_tree = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+        assert len(per_tree) == trees and max(per_tree) <= sample
+        assert sum(per_tree) >= 0.9 * trees * min(sample, rows)
+        assert drawn.groupBy("tree", "row_number").count().filter(F.col("count") > 1).isEmpty()
