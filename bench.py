@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import time
+from statistics import median
 
+from quayside import plans
 from quayside.plans.catalog import QUERIES
 from quayside.plans.warehouse import Warehouse
 from quayside.session import local_session
@@ -20,18 +22,26 @@ HEADLINE = (
 )
 
 
+# These store a model or its predictions, so a repeated run would read them: timed once, from nothing.
+BUILT = {"risk_model_scores", "shap_explanations", "anomaly_reasons"}
+RUNS = 3
+
+
+def timed(spark, folder: str, name: str) -> float:
+    """Seconds of one run. The noop sink computes every column of every row and keeps nothing."""
+    plans.warehouse._BUILT.clear()
+    began = time.perf_counter()
+    QUERIES[name](Warehouse(spark, folder)).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - began
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
-    warehouse = Warehouse(spark, folder)
-    QUERIES["supplier_country_counts"](warehouse).collect()  # start the session before the clock
-    seconds = {}
-    for name in HEADLINE:
-        began = time.perf_counter()
-        # The noop sink computes every column of every row and keeps nothing.
-        QUERIES[name](warehouse).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - began, 3)
+    timed(spark, folder, "stg_shipments")  # compile and warm up on the fact before the clock
+    seconds = {name: round(median(timed(spark, folder, name) for _ in range(1 if name in BUILT else RUNS)), 3)
+               for name in HEADLINE}
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

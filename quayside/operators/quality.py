@@ -105,17 +105,17 @@ def check_summary(models: Mapping[str, DataFrame]) -> DataFrame:
 
     for model, key in UNIQUE.items():
         add(unique_violations(models[model], model, key).agg(F.count("*").alias("n")), model, key, "unique")
-    for model, columns in NOT_NULL.items():
-        parts.append(null_counts(models[model], model, columns).select(
-            "model", "column_name", F.lit("not_null").alias("check_name"), F.col("null_count").alias("violations")))
-    for model, lists in ACCEPTED.items():
-        counted = models[model].agg(*[F.count_if(~F.col(c).isin(*values)).alias(c) for c, values in lists.items()])
-        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit("accepted_values").alias("check_name"),
-                                  F.col(c).alias("violations")) for c in lists])
+    # Whatever a row alone can tell is counted in one pass over its model.
+    for model in {**NOT_NULL, **ACCEPTED}:
+        counts = [(c, "not_null", F.col(c).isNull()) for c in NOT_NULL.get(model, ())]
+        counts += [(c, "accepted_values", ~F.col(c).isin(*values)) for c, values in ACCEPTED.get(model, {}).items()]
+        if model == "stg_shipments":
+            counts.append(("delay_days", "no_negative_delays", F.col("delay_days") < 0))
+        counted = models[model].agg(*[F.count_if(bad).alias(f"n{k}") for k, (_, _, bad) in enumerate(counts)])
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(check).alias("check_name"),
+                                  F.col(f"n{k}").alias("violations")) for k, (c, check, _) in enumerate(counts)])
         parts.append(counted.select(F.lit(model).alias("model"), F.inline(rows)))
     orphans = fk_violations(models["stg_shipments"], models["stg_suppliers"], "supplier_id")
     add(orphans.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n")), "stg_shipments", "supplier_id",
         "relationships")
-    add(models["stg_shipments"].agg(F.count_if(F.col("delay_days") < 0).alias("n")), "stg_shipments", "delay_days",
-        "no_negative_delays")
     return union_all(parts).withColumn("status", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS"))
