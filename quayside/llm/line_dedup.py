@@ -76,28 +76,30 @@ def buckets(signed: DataFrame) -> DataFrame:
     return signed.select("node", F.explode(F.array(*keys)).alias("key"))
 
 
+def _tokens(units: str) -> Column:
+    return F.transform(_starts(F.col(units)),
+                       lambda at: F.xxhash64(F.substring(F.col(units), at + 1, F.lit(2 * SHINGLE))))
+
+
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have the similarity."""
-    def tokens(units: str) -> Column:
-        return F.array_distinct(F.transform(
-            _starts(F.col(units)), lambda at: F.xxhash64(F.substring(F.col(units), at + 1, F.lit(2 * SHINGLE)))))
+    """The pairs whose shingle sets have the similarity. Sets whose sizes alone rule it out are not built."""
+    def side(end: str, units: str, size: str) -> DataFrame:
+        return texts.select(F.col("node").alias(end), F.col("units").alias(units), F.col("size").alias(size))
 
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("units").alias("x")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
-    # The lengths bound nothing, as shingles repeat; the sets decide.
-    sets = both.select("a", "b", tokens("x").alias("x"), tokens("y").alias("y"))
-    same = F.size(F.array_intersect("x", "y"))
-    return sets.select("a", "b", same.alias("s"), (F.size("x") + F.size("y")).alias("n")).filter(
-        F.col("s") * 100 >= PERCENT * (F.col("n") - F.col("s"))).select("a", "b")
+    both = pairs.join(side("a", "x", "nx"), "a").join(side("b", "y", "ny"), "b").filter(
+        F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * PERCENT)
+    same = both.select("a", "b", F.size(F.array_intersect(_tokens("x"), _tokens("y"))).alias("s"),
+                       (F.col("nx") + F.col("ny")).alias("n"))
+    return same.filter(F.col("s") * 100 >= PERCENT * (F.col("n") - F.col("s"))).select("a", "b")
 
 
 def _texts(cut: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The characters of one line per node, two bytes each."""
+    """The characters of one line per node, two bytes each, and the size of its shingle set."""
     nodes = stored(nodes)
     few = nodes.count() <= BROADCAST_ROWS
     found = cut.select("node", "content").join(F.broadcast(nodes) if few else nodes, "node")
     return stored(found.groupBy("node").agg(F.first("content").alias("content")).select(
-        "node", _units(F.col("content")).alias("units")))
+        "node", _units(F.col("content")).alias("units")).withColumn("size", F.size(F.array_distinct(_tokens("units")))))
 
 
 def line_components(cut: DataFrame) -> DataFrame:
