@@ -2,7 +2,7 @@
 
 A vocabulary that fits a text spends few tokens on it. Three measures over the pieces of its words - characters per
 token, share of byte-fallback tokens, entropy of the tokens relative to its largest value - must lie in the band of the
-text's script.
+text's script, and must not lie far outside the quartiles of the texts of its script and language.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import SPACES, words
+from quayside.llm.common import SPACES, stored, words
 
 PIECES = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
@@ -37,7 +37,7 @@ class Band:
     enough: int = 32
 
 
-# Rejection bands by script, for the 32k vocabulary of mostly Latin text.
+# Outer bands by script, for the 32k vocabulary of mostly Latin text. They hold at every size of a table.
 BANDS = {
     "latin": Band((1.25, 8.0), 0.10),
     "greek": Band((0.6, 6.0), 0.30),
@@ -47,6 +47,16 @@ BANDS = {
     "other": Band((0.2, 8.0), 0.98, 0.25),
 }
 
+# Texts of one script and language whose quartiles count; a measure is rejected when it lies more than ``FAR`` times the
+# distance of the quartiles (at least ``WIDTH`` of the lower one) outside of them.
+LEAST, FAR, WIDTH = 50, 2.0, 0.02
+# So many byte-fallback tokens (two emoji) are no evidence, whatever their share of a short text.
+FEW = 8
+MEASURES = ("chars_per_token", "fallback_share", "token_entropy")
+# Quartiles are read from exact counts of the measures in thousandths. A group has at most ``TOP`` of them.
+GRAIN, TOP = 1000, 16_000
+OCTAVES = 48
+
 # First code points of ranges, with the script of the letters there; below the first it is Latin.
 _RANGES = (
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "other"), (0x0590, "semitic"),
@@ -154,12 +164,55 @@ def judge(text: str, pieces: Pieces, bands: dict[str, Band]) -> tuple:
             not failed and within, script, n, per_token, fallback, entropy)
 
 
+def quartiles(measured: DataFrame) -> dict[tuple, dict[int, list[tuple[float, float]]]]:
+    """Lower and upper quartile of each measure, per script and language, then per octave of the number of tokens (all
+    octaves: -1). Of texts that pass the base rule those with equal figures, mostly copies, count once.
+    """
+    group = ["script", "lang", "octave"]
+    seen = measured.filter("NOT base_failed").select("script", "lang", "n_words", "word_chars", "n_tokens", *MEASURES)
+    bins = F.posexplode(F.array(*(F.least(F.round(F.col(m) * GRAIN), F.lit(TOP)).cast("int") for m in MEASURES)))
+    counts = (seen.distinct().withColumn("octave", F.explode(F.array(_octave(), F.lit(-1))))
+              .select(*group, bins.alias("measure", "bin")).groupBy(*group, "measure", "bin").count())
+    whole = Window.partitionBy(*group, "measure")
+    ranked = counts.select("*", F.sum("count").over(whole.orderBy("bin")).alias("upto"),
+                           F.sum("count").over(whole).alias("of")).filter(F.col("of") >= LEAST)
+    rows = ranked.groupBy(*group, "measure").agg(*(
+        F.min(F.when(4 * F.col("upto") >= k * F.col("of"), F.col("bin"))).alias(f"q{k}") for k in (1, 3)))
+    found: dict[tuple, dict[int, list]] = {}
+    # As many rows as there are scripts, languages and octaves, three each.
+    for r in rows.collect():
+        place = found.setdefault((r.script, r.lang), {}).setdefault(r.octave, [None] * len(MEASURES))
+        place[r.measure] = (r.q1 / GRAIN, r.q3 / GRAIN)
+    return found
+
+
+def _octave():
+    return F.length(F.bin("n_tokens")) - 1
+
+
+def fences(octaves: dict[int, list[tuple[float, float]]], octave: int) -> tuple[float, float, float | None]:
+    """Least characters per token, largest fallback share and least entropy for texts of an octave.
+
+    Short texts vary more, so the octave can lower the limit of all texts of the language, not raise it. Entropy falls
+    with the number of tokens: an octave of too few texts has the (wider) quartiles of all.
+    """
+    def below(pair):
+        return pair[0] - FAR * max(pair[1] - pair[0], WIDTH * pair[0])
+
+    def above(pair):
+        return pair[1] + FAR * max(pair[1] - pair[0], WIDTH)
+
+    whole, own = octaves[-1], octaves.get(octave, octaves[-1])
+    return (min(below(whole[0]), below(own[0])), max(above(whole[1]), above(own[1])), below(own[2]))
+
+
 def fertility_rules(docs: DataFrame, bands: dict[str, Band] | None = None, path: str | None = None) -> DataFrame:
     """Counts, measures and verdict of every whole text.
 
-    One row per row of the input, repeated rows and null ids included; other columns are ignored. A null or empty text
-    has no words, zero counts and measures, and fails the base rule. ``bands`` replaces the bands of some scripts,
-    ``path`` is the vocabulary on every executor.
+    One row per row of the input, repeated rows and null ids included; ``lang``, where present, tells which texts are
+    compared, other columns are ignored. A null or empty text has no words, zero counts and measures, and fails the
+    base rule. ``bands`` replaces the outer bands of some scripts, ``path`` is the vocabulary on every executor. A
+    script and language of fewer than ``LEAST`` texts has the outer band only.
     """
     limits = BANDS | (bands or {})
 
@@ -170,9 +223,28 @@ def fertility_rules(docs: DataFrame, bands: dict[str, Band] | None = None, path:
             rows = [judge(t.as_py() or "", pieces, limits) for t in batch.column("text")]
             columns = list(zip(*rows)) or [()] * (len(schema) - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:]))],
-                schema=schema)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SCHEMA)
+                [batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])),
+                 batch.column("lang")], schema=schema.append(pa.field("lang", pa.string())))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", lang.alias("lang"))
+    measured = stored(rows.mapInArrow(run, f"{_SCHEMA}, lang string"))
+    enough = {script: band.enough for script, band in limits.items()}
+    places = [(script, lang, octave, enough[script], *fences(octaves, octave))
+              for (script, lang), octaves in quartiles(measured).items() if -1 in octaves for octave in range(OCTAVES)]
+    near = docs.sparkSession.createDataFrame(
+        places, "script string, lang string, octave int, enough int, least_chars double, most_fallback double, "
+        "least_entropy double").withColumnsRenamed({"script": "of_script", "lang": "of_lang"})
+    n = F.col("n_tokens")
+    within = ((F.col("chars_per_token") >= F.col("least_chars"))
+              & ((F.col("fallback_share") <= F.col("most_fallback"))
+                 | (F.round(F.col("fallback_share") * n) <= FEW))
+              & ((n < F.col("enough")) | (F.col("token_entropy") >= F.col("least_entropy"))))
+    met = ((F.col("script") == F.col("of_script")) & F.col("lang").eqNullSafe(F.col("of_lang"))
+           & (_octave() == F.col("octave")))
+    # A few numbers per language.
+    judged = measured.join(F.broadcast(near), met, "left")
+    return judged.withColumn("kept", F.col("kept") & F.coalesce(within, F.lit(True))).select(
+        *(c.split()[0] for c in _SCHEMA.split(", ")))
 
 
 _TYPES = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "double": pa.float64()}

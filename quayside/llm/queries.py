@@ -24,7 +24,7 @@ def op8_bpe_round_trip(spark, folder):
 
 
 def op1_fertility(spark, folder):
-    return fertility_rules(table(spark, folder, "documents", "doc_id", "text"))
+    return fertility_rules(table(spark, folder, "documents", "doc_id", "text", "lang"))
 
 
 def op2_ngram_join(spark, folder):

@@ -361,3 +361,25 @@ def test_repeated_words_and_lines():
 def test_scripts():
     assert [fertility.script_of(t) for t in ("plain", "été!", "привет мир", "日本語です", "שלום", "12 🙂")] == [
         "latin", "latin", "cyrillic", "east_asian", "semitic", "latin"]
+
+
+def test_junk_is_rejected_and_clean_text_kept(spark, docs):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [(-k, " ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(150)), "en")
+            for k in range(1, 9)]
+    # One text, repeated as often as all others: copies must not narrow what is accepted. Few texts of a language are
+    # not measured against the many of another.
+    clean = docs.filter("lang = 'en'").select("doc_id", "text", "lang")
+    copied = clean.orderBy("doc_id").limit(1).crossJoin(spark.range(100)).select(F.lit(0).alias("doc_id"), "text", "lang")
+    polish = [(-100, "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni "
+                     "rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.", "pl")]
+    emoji = [(-200, docs.filter("lang = 'en' AND n_chars > 900").orderBy("doc_id").first().text + " 🙂🙃", "en")]
+    table = clean.union(copied).union(spark.createDataFrame(junk + polish + emoji, "doc_id long, text string, lang string"))
+    rows = fertility.fertility_rules(table).filter("NOT base_failed").collect()
+    assert len({r.doc_id for r in rows if -100 < r.doc_id < 0 and not r.kept}) == len(junk)
+    assert all(r.kept for r in rows if r.doc_id <= -100) and sum(r.doc_id <= -100 for r in rows) == 2
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").filter("quality = 1")
+    good = {r.doc_id for r in labels.collect()}
+    verdicts = [r.kept for r in rows if r.doc_id in good]
+    assert len(verdicts) > 10 and sum(verdicts) >= 0.95 * len(verdicts)
