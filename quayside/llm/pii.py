@@ -11,6 +11,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,28 +82,33 @@ def _octets(text: str) -> bool:
 # -- candidates -----------------------------------------------------------------------------------------------------
 
 _GENERATORS = {
-    "email": re.compile(r"(?<![\w.+-])[\w.+-]{1,64}+\s?(?:@|\(at\)|\[at\]|\bat\b)\s?[\w-]{1,64}+"
-                        r"(?:\s?(?:\.|\(dot\)|\[dot\]|\bdot\b)\s?[\w-]{1,64}+)+", re.I),
+    "email": re.compile(r"(?<![\w.+-])[\w.+-]++\s?(?:@|\(at\)|\[at\]|\bat\b)\s?[\w-]++"
+                        r"(?:\s?(?:\.|\(dot\)|\[dot\]|\bdot\b)\s?[\w-]++)+", re.I),
     "ip": re.compile(r"(?<![\w.])[0-9]{1,3}+(?:[.][0-9]{1,3}+){3}+(?![\w.]*[0-9])"),
     "phone": re.compile(r"(?<![\w+(])(?:\+|00)?[ ]?\(?[0-9]{2,4}+\)?(?:[ ./-]?\(?[0-9]{2,4}+\)?){2,4}+(?!\w)"),
     "card": re.compile(r"(?<![\w-])[0-9]{4}(?:[ ._-]?[0-9]{3,6}+){2,4}+(?![\w-])"),
-    "secret": re.compile(r"\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?\S{6,200}"
-                         r"|(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{18,200}+(?![A-Za-z0-9_-])"),
+    "secret": re.compile(r"\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?\S{6,}+"
+                         r"|(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{18,}+(?![A-Za-z0-9_-])"),
 }
 # Words that announce personal data in the corpus languages.
 _CUES = ("mail", "phone", "tel", "call", "fax", "mobile", "card", "visa", "credit", "account", "ip", "host", "server",
          "password", "secret", "token", "key", "telefon", "karte", "carte", "tarjeta", "correo", "llame")
 _CUE = re.compile(r"(?:" + "|".join(_CUES) + r")\W*$", re.I)
 _CONTEXT = 24
+_AT = re.compile(r"@|\bat\b", re.I)
+_KEY = re.compile(r"(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?")
 _SECRET = re.compile(r"(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]|AKIA[0-9A-Z]{16}$|[0-9a-f]{32,64}$")
 
 
 def candidates(text: str) -> list[Span]:
     found = []
-    if _DIGIT.search(text):
-        for kind in ("ip", "phone", "card", "secret"):
+    digit = _DIGIT.search(text)
+    if digit:
+        for kind in ("ip", "phone", "card"):
             found += [(kind, *m.span()) for m in _GENERATORS[kind].finditer(text)]
-    if "@" in text or re.search(r"\b(?:at|AT|At)\b", text):
+    if digit or ":" in text or "=" in text:  # a value after a key word needs no digit
+        found += [("secret", *m.span()) for m in _GENERATORS["secret"].finditer(text)]
+    if _AT.search(text):
         found += [("email", *m.span()) for m in _GENERATORS["email"].finditer(text)]
     return found
 
@@ -111,7 +117,7 @@ def features(kind: str, text: str, before: str, after: str) -> list[float]:
     """Numbers on the format of a candidate and on the characters around it."""
     n = len(text)
     digits = _digits(text)
-    counts = [text.count(c) for c in set(text)]
+    counts = Counter(text).values()
     groups = re.split(r"\D+", text.strip("+() "))
     plain = re.sub(r"\s?[(\[]\s?(?:at)\s?[)\]]\s?|\s+at\s+", "@", text, flags=re.I)
     plain = re.sub(r"\s?[(\[]\s?(?:dot)\s?[)\]]\s?|\s+dot\s+", ".", plain, flags=re.I)
@@ -184,6 +190,11 @@ def _variants(kind: str, text: str, rng: random.Random) -> list[tuple[str, int]]
                 (f"{d[:2]} {d[2:4]} {d[4:6]}", 0)]
     elif kind == "secret":
         out += [("".join(c for c in text if c.isalpha())[:30] or "word", 0), ("0" * len(text), 0)]
+        if key := _KEY.match(text):  # a value may be letters only, or long as signed tokens are
+            letters = "abcdefghijklmnopqrstuvwxyz"
+            out.append((key.group() + "".join(rng.choices(letters, k=rng.randint(8, 30))), 1))
+            signed = letters + letters.upper() + "0123456789-_."
+            out.append((key.group() + "".join(rng.choices(signed, k=rng.randint(100, 1500))), 1))
     return out
 
 
@@ -209,8 +220,7 @@ def _examples(docs: DataFrame, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hs, pa.int64()), pa.array(xs, pa.list_(pa.float64())), pa.array(ys, pa.int32())],
                 names=["h", "x", "y"])
-    digits = docs.select("text").filter(F.col("text").rlike("[0-9@]"))
-    return digits.mapInArrow(run, "h long, x array<double>, y int")
+    return docs.select("text").mapInArrow(run, "h long, x array<double>, y int")
 
 
 @dataclass

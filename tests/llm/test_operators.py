@@ -383,3 +383,17 @@ def test_junk_is_rejected_and_clean_text_kept(spark, docs):
     good = {r.doc_id for r in labels.collect()}
     verdicts = [r.kept for r in rows if r.doc_id in good]
     assert len(verdicts) > 10 and sum(verdicts) >= 0.95 * len(verdicts)
+
+
+def test_secrets_without_digits_and_long_candidates(spark):
+    assert pii.candidates("password: correcthorsebattery is mine") == [("secret", 0, 29)]
+    token = "token=" + "eyJhbGciOi.J9" * 62
+    bare, mail = "Ab3_" * 75, f"{'n' * 90}@{'h' * 70}.example.com"
+    for kind, span in (("secret", token), ("secret", bare), ("email", mail)):
+        assert (kind, 4, 4 + len(span)) in pii.candidates(f"see {span} there")
+    model = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for secret in (token, "password: correcthorsebattery"):
+        text = f"The {secret} was sent."
+        assert pii.redact(text, pii.detect(text, model)) == "The <SECRET> was sent."
+    for text in ("token=" + "a" * 200_000, "a1" * 100_000, "a." * 100_000 + " at ", "x@" + "h." * 100_000):
+        pii.candidates(text)
