@@ -241,7 +241,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 7) -> PiiModel:
     ``WRONG`` of the selected spans are refuted ones.
     """
     # Only hashes, feature vectors and labels of the bounded sample reach the driver.
-    rows = _examples(docs, seed).orderBy("h", "y", "x").limit(sample * 8).collect()
+    # Copies of a document repeat its examples, so these are made distinct before they are counted.
+    rows = _examples(docs, seed).distinct().orderBy("h", "y", "x").limit(sample * 8).collect()
     if len({r.y for r in rows}) < 2:
         return PiiModel(None)
     x, y = np.array([r.x for r in rows]), np.array([r.y for r in rows], float)

@@ -397,3 +397,10 @@ def test_secrets_without_digits_and_long_candidates(spark):
         assert pii.redact(text, pii.detect(text, model)) == "The <SECRET> was sent."
     for text in ("token=" + "a" * 200_000, "a1" * 100_000, "a." * 100_000 + " at ", "x@" + "h." * 100_000):
         pii.candidates(text)
+
+
+def test_copies_do_not_fill_the_training_sample(spark, docs):
+    once = pii.train(docs, sample=50)
+    copied = pii.train(docs.crossJoin(spark.range(20)).drop("id"), sample=50)
+    assert once.trees is not None and copied.trees is not None
+    assert (once.slope, once.offset, once.threshold) == (copied.slope, copied.offset, copied.threshold)
