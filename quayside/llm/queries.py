@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from quayside.llm.common import table
 from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
@@ -12,6 +14,7 @@ from quayside.llm.ngram_join import ngram_join
 from quayside.llm.packing import pack
 from quayside.llm.pii import find_pii
 from quayside.llm.quality import classify
+from quayside.llm.runs import find_runs, run_digest
 from quayside.llm.warc import archive_round_trip
 
 
@@ -56,6 +59,21 @@ def op10_pii(spark, folder):
     return find_pii(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def with_period(doc_id: int, words: list[str]) -> list[str]:
+    """The words, of one document in ten repeating with a period from some place on, both told by the id's hash."""
+    h, n = crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + (i - start) % period] for i in range(start, n)]
+
+
+def op13_periodic_runs(spark, folder):
+    return run_digest(find_runs(table(spark, folder, "documents", "doc_id", "text"), change=with_period))
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_ngram_join": op2_ngram_join,
@@ -67,6 +85,7 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
