@@ -15,6 +15,7 @@ from quayside.llm.packing import pack
 from quayside.llm.pii import find_pii
 from quayside.llm.quality import classify
 from quayside.llm.runs import find_runs, run_digest
+from quayside.llm.toxicity import toxicity
 from quayside.llm.warc import archive_round_trip
 
 
@@ -59,6 +60,11 @@ def op10_pii(spark, folder):
     return find_pii(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op12_toxicity(spark, folder):
+    return toxicity(table(spark, folder, "documents", "doc_id", "text"),
+                    table(spark, folder, "labels", "doc_id", "toxic"))
+
+
 def with_period(doc_id: int, words: list[str]) -> list[str]:
     """The words, of one document in ten repeating with a period from some place on, both told by the id's hash."""
     h, n = crc32(str(doc_id).encode()), len(words)
@@ -85,6 +91,7 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op12_toxicity": op12_toxicity,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
