@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from zlib import crc32
 
+from quayside.llm.collocations import collocations
 from quayside.llm.common import table
 from quayside.llm.encoding import round_trip
 from quayside.llm.exact_dedup import exact_dedup
@@ -60,6 +61,10 @@ def op10_pii(spark, folder):
     return find_pii(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op11_collocations(spark, folder):
+    return collocations(table(spark, folder, "documents", "text", "lang"))
+
+
 def op12_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents", "doc_id", "text"),
                     table(spark, folder, "labels", "doc_id", "toxic"))
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
     "op12_toxicity": op12_toxicity,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -119,4 +125,35 @@ ORACLE_SQL = {
                row_number() OVER (PARTITION BY content ORDER BY length(text) DESC, doc_id) = 1 AS kept,
                sha256(content) AS text_sha256
         FROM rows""",
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        sequences AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM sequences GROUP BY lang),
+        starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM sequences),
+        occurrences AS (
+            SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+            FROM starts, (SELECT unnest(range(1, 6)) AS size) WHERE i + size - 1 <= len(words)),
+        phrases AS (
+            SELECT lang, size, phrase, count(*) AS f FROM occurrences GROUP BY lang, size, phrase HAVING count(*) >= 100),
+        kept AS (
+            SELECT * FROM phrases AS short WHERE size > 1 AND NOT EXISTS (
+                SELECT 1 FROM phrases AS long WHERE long.lang = short.lang AND long.size > short.size
+                AND 100 * long.f >= 100 * short.f
+                AND contains(' ' || long.phrase || ' ', ' ' || short.phrase || ' '))),
+        cuts AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k FROM kept),
+        scored AS (
+            SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, n,
+                   CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cuts JOIN totals ON totals.lang = cuts.lang
+            JOIN phrases AS x ON x.lang = cuts.lang AND x.phrase = array_to_string(words[:k], ' ')
+            JOIN phrases AS y ON y.lang = cuts.lang AND y.phrase = array_to_string(words[k + 1:], ' ')),
+        best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM best QUALIFY rank <= 2000""",
 }
