@@ -107,6 +107,11 @@ _RULE = f"""SELECT *, CASE WHEN score > 0.4 THEN 'HIGH' WHEN score > 0.2 THEN 'M
     FROM (SELECT f.*, m.target, round(1 - f.reliability_score, 2) AS score
           FROM supplier_features f JOIN ({_MATRIX}) m USING (supplier_id))"""
 
+_LABELS = """['Reliability Score', 'Lead Time (Days)', 'Is Active', 'Annual Spend (USD)', 'Total Shipments',
+        'Disrupted Shipments', 'Avg Delay (Days)', 'Max Delay (Days)', 'Disruption Rate %', 'Country',
+        'Product Category', 'Risk Level']"""
+_PAGE = "supplier_id, supplier_name, risk_tier, risk_probability, top_risk_driver, explanation"
+
 _BODIES: dict[str, str] = {
     # loading
     "ingest_metadata": "SELECT *, '2024-01-31T00:00:00' AS _ingested_at, 'orders.parquet' AS _source_file FROM orders",
@@ -241,6 +246,30 @@ _BODIES: dict[str, str] = {
     "rule_top5_risky_suppliers": f"""SELECT supplier_id, supplier_name, country, tier AS risk_tier,
         score AS risk_probability, disruption_rate_pct FROM ({_RULE}) ORDER BY score DESC, supplier_id LIMIT 5""",
     "rule_risk_tier_counts": _counts(f"({_RULE})", "tier").replace("tier", "tier AS risk_tier", 1),
+    # The linear score: its table, its Shapley values, the reports on both.
+    "linear_risk_scores": "SELECT * FROM linear_scores",
+    "linear_shap_explanations": "SELECT * FROM linear_explained",
+    "linear_top_driver": "SELECT supplier_id, top_risk_driver, top_driver_impact FROM linear_explained",
+    "linear_top3_explanation": "SELECT supplier_id, explanation FROM linear_explained",
+    "linear_driver_distribution": "SELECT top_risk_driver, count(*) AS suppliers FROM linear_explained GROUP BY 1",
+    "linear_global_shap_importance": f"""SELECT feature, round(avg(abs(value)), 6) AS mean_abs_shap
+        FROM (SELECT unnest({_LABELS}) AS feature, unnest(shap) AS value FROM linear_scored) GROUP BY feature""",
+    "linear_top5_critical_explanations": f"""SELECT {_PAGE} FROM linear_explained WHERE risk_tier = 'CRITICAL'
+        ORDER BY risk_probability DESC, supplier_id LIMIT 5""",
+    "linear_filter_tier_driver": """SELECT * FROM linear_explained WHERE risk_tier IN ('HIGH', 'CRITICAL')
+        AND top_risk_driver IN ('Risk Level', 'Disruption Rate %')""",
+    "linear_explanation_page": f"""SELECT {_PAGE} FROM linear_explained WHERE risk_tier IN ('HIGH', 'CRITICAL')
+        ORDER BY supplier_id LIMIT 10""",
+    "linear_supplier_shap_long": f"""SELECT supplier_id, unnest({_LABELS}) AS feature,
+        round(unnest(shap), 6) AS shap_value FROM linear_scored""",
+    "linear_driver_options": "SELECT DISTINCT top_risk_driver FROM linear_explained",
+    "linear_risk_scatter": """SELECT disruption_rate_pct, risk_probability, risk_tier, total_shipments, supplier_name,
+        country, product_category, avg_delay_days FROM linear_scores WHERE risk_tier IN ('HIGH', 'CRITICAL')""",
+    "linear_risk_table": """SELECT supplier_id, supplier_name, country, product_category, risk_tier, risk_probability,
+        disruption_rate_pct, avg_delay_days, total_shipments FROM linear_scores
+        WHERE risk_tier IN ('HIGH', 'CRITICAL')""",
+    "linear_kpi_overview": _OVERVIEW + """,
+        (SELECT count(*) FROM linear_scores WHERE risk_tier = 'CRITICAL') AS critical_suppliers""",
     # An exact quarter of the suppliers, shared out to the classes by largest remainder, by least hash.
     "stratified_split": f"""SELECT * FROM (
         WITH labelled AS (
@@ -275,6 +304,30 @@ _BODIES: dict[str, str] = {
             CASE WHEN delay_ratio > 2 THEN 'DELAY_EXCEEDS_LEAD_TIME_2X' END,
             CASE WHEN reliability_score < 0.6 AND is_disrupted THEN 'LOW_RELIABILITY_DISRUPTION' END) AS met
           FROM shipment_ratios CROSS JOIN reason_limits)""",
+    # distances from the medians, and the reports on them
+    "robust_anomaly_severity": """SELECT shipment_id, is_anomaly, anomaly_score, anomaly_severity, severity_tier
+        FROM robust_anomalies""",
+    "robust_anomaly_reasons": "SELECT * FROM robust_anomalies",
+    "robust_anomaly_rate": """SELECT count(*) FILTER (is_anomaly) AS anomalies,
+        round_even(count(*) FILTER (is_anomaly) * 100.0::DOUBLE / count(*) * 10, 0) / 10 AS anomaly_pct
+        FROM robust_anomalies""",
+    "robust_severity_summary": """SELECT severity_tier, count(*) AS shipment_count,
+        round(avg(delay_days), 1) AS avg_delay_days, round(avg(freight_cost_usd), 0) AS avg_freight_cost
+        FROM robust_anomalies GROUP BY 1""",
+    "robust_severity_counts": _counts("robust_anomalies", "severity_tier"),
+    "robust_anomaly_reason_breakdown": """SELECT anomaly_reasons, count(*) AS count FROM robust_anomalies
+        WHERE is_anomaly GROUP BY 1""",
+    "robust_top10_anomalies": """SELECT shipment_id, supplier_id, origin_country, carrier, delay_days, severity_tier,
+        anomaly_reasons FROM robust_anomalies WHERE is_anomaly ORDER BY anomaly_severity DESC, shipment_id LIMIT 10""",
+    "robust_top15_anomalies": """SELECT shipment_id, supplier_id, origin_country, carrier, delay_days, severity_tier,
+        anomaly_severity, anomaly_reasons FROM robust_anomalies WHERE is_anomaly
+        ORDER BY anomaly_severity DESC, shipment_id LIMIT 15""",
+    "robust_kpi_anomalies": """SELECT count(*) FILTER (is_anomaly) AS anomalies,
+        count(*) FILTER (severity_tier = 'CRITICAL') AS critical_anomalies,
+        round_even(avg(anomaly_severity) FILTER (is_anomaly) * 1000, 0) / 1000 AS avg_severity FROM robust_anomalies""",
+    "robust_kpi_shipments": """SELECT count(*) AS total_shipments, count(*) FILTER (is_disrupted) AS disrupted,
+        round_even(avg(delay_days) * 10, 0) / 10 AS avg_delay_days,
+        (SELECT count(*) FILTER (is_anomaly) FROM robust_anomalies) AS anomalies FROM stg_shipments""",
     # data quality
     "dq_summary": _summary(),
     "dq_unique": _DUPLICATES,

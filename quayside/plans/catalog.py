@@ -523,6 +523,83 @@ def driver_options(w: Warehouse) -> DataFrame:
     return explain.driver_options(w.explanations())
 
 
+# The same reports on a linear score, whose Shapley values the check statements can compute.
+
+def _linear(w: Warehouse) -> DataFrame:
+    return settled(w.linear_explanations(), **{label: 6 for label in explain.LABELS})
+
+
+@query
+def linear_risk_scores(w: Warehouse) -> DataFrame:
+    return risk_model.sorted_scores(w.linear_scores())
+
+
+@query
+def linear_shap_explanations(w: Warehouse) -> DataFrame:
+    return _linear(w)
+
+
+@query
+def linear_top_driver(w: Warehouse) -> DataFrame:
+    return explain.top_driver(_linear(w))
+
+
+@query
+def linear_top3_explanation(w: Warehouse) -> DataFrame:
+    return explain.top3_explanation(_linear(w))
+
+
+@query
+def linear_driver_distribution(w: Warehouse) -> DataFrame:
+    return explain.driver_distribution(_linear(w))
+
+
+@query
+def linear_global_shap_importance(w: Warehouse) -> DataFrame:
+    return settled(explain.global_importance(w.linear_explanations()), mean_abs_shap=6)
+
+
+@query
+def linear_top5_critical_explanations(w: Warehouse) -> DataFrame:
+    return explain.top5_critical_explanations(_linear(w))
+
+
+@query
+def linear_filter_tier_driver(w: Warehouse) -> DataFrame:
+    return explain.filter_tier_driver(_linear(w), HIGH_TIERS, ["Risk Level", "Disruption Rate %"])
+
+
+@query
+def linear_explanation_page(w: Warehouse) -> DataFrame:
+    return explain.explanation_page(explain.filter_tier_driver(_linear(w), HIGH_TIERS, []))
+
+
+@query
+def linear_supplier_shap_long(w: Warehouse) -> DataFrame:
+    return explain.supplier_shap_long(_linear(w))
+
+
+@query
+def linear_driver_options(w: Warehouse) -> DataFrame:
+    return explain.driver_options(_linear(w))
+
+
+@query
+def linear_risk_scatter(w: Warehouse) -> DataFrame:
+    return reports.risk_scatter(reports.filter_tier_country(w.linear_scores(), "risk_tier", HIGH_TIERS, []))
+
+
+@query
+def linear_risk_table(w: Warehouse) -> DataFrame:
+    return reports.risk_table(reports.filter_tier_country(w.linear_scores(), "risk_tier", HIGH_TIERS, []))
+
+
+@query
+def linear_kpi_overview(w: Warehouse) -> DataFrame:
+    return reports.kpi_overview(
+        w.suppliers("supplier_id", "is_active"), w.shipments("is_disrupted"), w.stock(), w.linear_scores())
+
+
 # -- shipment anomalies ---------------------------------------------------------------------
 
 @query
@@ -575,6 +652,59 @@ def kpi_anomalies(w: Warehouse) -> DataFrame:
     return anomalies.kpi_anomalies(w.shipment_anomalies())
 
 
+# The same reports on distances from the medians, which the check statements can compute.
+
+@query
+def robust_anomaly_severity(w: Warehouse) -> DataFrame:
+    return w.robust_anomalies().select(
+        "shipment_id", "is_anomaly", "anomaly_score", "anomaly_severity", "severity_tier")
+
+
+@query
+def robust_anomaly_reasons(w: Warehouse) -> DataFrame:
+    return w.robust_anomalies()
+
+
+@query
+def robust_anomaly_rate(w: Warehouse) -> DataFrame:
+    return anomalies.anomaly_rate(w.robust_anomalies())
+
+
+@query
+def robust_severity_summary(w: Warehouse) -> DataFrame:
+    return anomalies.severity_summary(w.robust_anomalies())
+
+
+@query
+def robust_severity_counts(w: Warehouse) -> DataFrame:
+    return reports.value_counts(w.robust_anomalies(), "severity_tier")
+
+
+@query
+def robust_anomaly_reason_breakdown(w: Warehouse) -> DataFrame:
+    return anomalies.reason_breakdown(w.robust_anomalies())
+
+
+@query
+def robust_top10_anomalies(w: Warehouse) -> DataFrame:
+    return anomalies.top10_anomalies(w.robust_anomalies())
+
+
+@query
+def robust_top15_anomalies(w: Warehouse) -> DataFrame:
+    return anomalies.top15_anomalies(w.robust_anomalies())
+
+
+@query
+def robust_kpi_anomalies(w: Warehouse) -> DataFrame:
+    return anomalies.kpi_anomalies(w.robust_anomalies())
+
+
+@query
+def robust_kpi_shipments(w: Warehouse) -> DataFrame:
+    return reports.kpi_shipments(w.shipments("is_disrupted", "delay_days"), w.robust_anomalies())
+
+
 # -- data quality -----------------------------------------------------------------------------
 
 def _checked_models(w: Warehouse) -> dict[str, DataFrame]:

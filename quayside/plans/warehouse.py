@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import anomalies, demand, explain, external, features, risk_model, shipments, staging
+from quayside.operators import (
+    anomalies, demand, explain, external, features, linear_risk, risk_model, robust_anomalies, shipments, staging,
+)
 from quayside.plans import marts
 from quayside.session import configure, cut_lineage
 from quayside.sources import feeds
@@ -232,6 +234,19 @@ class Warehouse:
                 explain.explain(model, self.supplier_matrix(), risk_model.DEPTH)))
         return self._once("explanations", build)
 
+    def linear_model(self) -> linear_risk.LinearModel:
+        return self._once("linear_model", lambda: linear_risk.train(self.supplier_matrix()))
+
+    def linear_scores(self) -> DataFrame:
+        return linear_risk.risk_scores(self.linear_model(), self.supplier_matrix(), self.raw.run_ts)
+
+    def linear_explanations(self) -> DataFrame:
+        return explain.shap_explanations(linear_risk.explain(self.linear_model(), self.supplier_matrix()))
+
     def shipment_anomalies(self) -> DataFrame:
         return self._once("shipment_anomalies", lambda: cut_lineage(
             anomalies.shipment_anomalies(self.enriched_shipments())))
+
+    def robust_anomalies(self) -> DataFrame:
+        return self._once("robust_anomalies", lambda: cut_lineage(
+            robust_anomalies.shipment_anomalies(self.enriched_shipments())))
