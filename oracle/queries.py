@@ -177,6 +177,10 @@ _BODIES: dict[str, str] = {
     # demand and stock
     "demand_daily": """SELECT CAST(date AS DATE) AS date, sku, warehouse, CAST(sum(demand) AS BIGINT) AS demand
         FROM demand_history GROUP BY 1, 2, 3 ORDER BY 2, 3, 1""",
+    "demand_refused": """SELECT * FROM (SELECT sku, warehouse, CAST(min(date) AS DATE) AS first_date,
+        CAST(max(date) AS DATE) AS last_date,
+        CAST(datediff('day', CAST(min(date) AS DATE), CAST(max(date) AS DATE)) + 1 AS INTEGER) AS days
+        FROM demand_history GROUP BY 1, 2) WHERE days > 36525""",
     "demand_coverage": """SELECT count(*) AS records, count(DISTINCT sku) AS skus,
         count(DISTINCT warehouse) AS warehouses FROM demand_history""",
     "inventory_by_sku_wh": "SELECT * FROM inventory_by_sku_wh",

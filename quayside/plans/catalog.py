@@ -305,6 +305,11 @@ def stockout_tier_counts(w: Warehouse) -> DataFrame:
     return reports.value_counts(w.stockout(), "stockout_risk")
 
 
+@query
+def demand_refused(w: Warehouse) -> DataFrame:
+    return demand.refused_series(w.demand_history())
+
+
 @query
 def demand_forecast(w: Warehouse) -> DataFrame:
     return demand.demand_forecast(w.demand_history())

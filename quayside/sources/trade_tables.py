@@ -152,12 +152,11 @@ class TradeTables:
     def demand_history(self) -> DataFrame:
         """Units asked for per day, sku and warehouse."""
         lines = self.raw_shipments(("scheduled_date", "sku", "destination_warehouse", "quantity_shipped"))
-        # Days are grouped as days and written as text afterwards, once per group instead of once per line.
-        daily = lines.groupBy("scheduled_date", "sku", "destination_warehouse").agg(
-            F.sum("quantity_shipped").alias("demand"))
-        return daily.select(
-            F.col("scheduled_date").cast("string").alias("date"), F.trim("sku").alias("sku"),
-            F.col("destination_warehouse").alias("warehouse"), "demand")
+        # Grouped under the names and types of the result, so that a later sum by the same keys needs no exchange.
+        return lines.groupBy(
+            F.col("scheduled_date").alias("date"), F.trim("sku").alias("sku"),
+            F.col("destination_warehouse").alias("warehouse"),
+        ).agg(F.sum("quantity_shipped").alias("demand"))
 
     # -- external signals -------------------------------------------------
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from quayside.operators import demand
@@ -78,18 +79,13 @@ def test_stockout_without_inventory(spark):
 
 def test_yearly_terms_at_every_length():
     """The season is modelled below two years, too: one day more or less does not change the model."""
-    import numpy as np
-    import pandas as pd
-
-    from quayside.operators.demand import _fit_series
-
     rng, errors = np.random.default_rng(1), {}
     for n in (365, 729, 730):
         day = np.arange(n + 90)
         truth = 50 + 20 * np.sin(2 * np.pi * day / 365.25)
         rows = pd.DataFrame({"date": pd.Timestamp(2022, 1, 1) + pd.to_timedelta(day[:n], unit="D"), "sku": "s",
                              "warehouse": "w", "demand": truth[:n] + 5 * rng.standard_normal(n)})
-        found = _fit_series(rows, 90)
+        found = demand._fit_series(rows, 90)
         errors[n] = float(np.abs(found["yhat"] - truth[n:]).mean())
         width = (found["yhat_upper"] - found["yhat_lower"]).to_numpy()
         if n == 365:  # the interval widens away from the data
@@ -97,13 +93,70 @@ def test_yearly_terms_at_every_length():
     assert errors[365] < 15 and errors[729] < 6 and abs(errors[730] - errors[729]) < 1.5, errors
 
 
-def test_a_mistyped_date_is_refused():
-    import pandas as pd
-    import pytest
-
-    from quayside.operators.demand import _fit_series
-
-    rows = pd.DataFrame({"date": pd.to_datetime(["2022-01-01", "2200-01-01"]), "sku": "s", "warehouse": "w",
-                         "demand": [1.0, 2.0]})
-    with pytest.raises(ValueError, match="check its dates"):
-        _fit_series(rows, 90)
+def test_a_mistyped_date_is_reported_and_stops_nothing(spark):
+    rows = history(spark, [3, 4, 5]).union(history(spark, [1, 2], sku="B"))
+    typo = spark.createDataFrame([("2921-01-04", "B", "W", 7)], "date string, sku string, warehouse string, demand int")
+    bad = rows.union(typo)
+    assert [(r.sku, r.last_date, r.days > 300_000) for r in demand.refused_series(bad).collect()] == [
+        ("B", dt.date(2921, 1, 4), True)]
+    assert demand.refused_series(rows).count() == 0
+    assert {r.sku for r in demand.demand_forecast(bad).collect()} == {"A"}
+
+
+def series(values, sku="s"):
+    days = pd.Timestamp(2022, 1, 1) + pd.to_timedelta(np.arange(len(values)), unit="D")
+    return pd.DataFrame({"date": days, "sku": sku, "warehouse": "w", "demand": values})
+
+
+def test_a_kink_is_followed():
+    """A trend that turns after two thirds of the history goes on with its new slope."""
+    rng = np.random.default_rng(4)
+    day = np.arange(690)
+    truth = np.where(day < 400, 40 + 0.3 * day, 160 - 0.35 * (day - 400)) * (1 + 0.1 * np.sin(2 * np.pi * day / 7))
+    found = demand._fit_series(series(truth[:600] + 3 * rng.standard_normal(600)), 90)
+    error = np.abs(found["yhat"].to_numpy() - truth[600:].clip(min=0))
+    assert error.mean() < 9
+    line = np.polyval(np.polyfit(day[:600], truth[:600], 1), day[600:])
+    assert error.mean() < 0.3 * np.abs(line - truth[600:]).mean()
+    changes, weights, _, _ = demand.fit_trend(truth[:600] / truth[:600].max(), demand._season(day[:600]))
+    assert np.abs(weights[2:]).max() > 0.5 and (np.abs(weights[2:]) < 0.05).sum() >= len(changes) // 2
+
+
+def test_a_line_keeps_its_slope():
+    rng = np.random.default_rng(9)
+    day = np.arange(590)
+    truth = 30 + 0.1 * day
+    found = demand._fit_series(series(truth[:500] + 2 * rng.standard_normal(500)), 90)
+    assert np.abs(found["yhat"].to_numpy() - truth[500:]).mean() < 5
+
+
+def test_coverage_of_the_interval():
+    """Days to come lie in the 95 % interval about that often where the trend goes on, less often where it bends."""
+    lines = []
+    for seed in range(12):
+        y = 30 + 0.1 * np.arange(590) + 3 * np.random.default_rng(seed).standard_normal(590)
+        found = demand._fit_series(series(y[:500], sku=str(seed)), 90)
+        lines.append(((y[500:] >= found["yhat_lower"]) & (y[500:] <= found["yhat_upper"])).mean())
+    assert 0.92 <= np.mean(lines) <= 0.98, lines
+    inside = []
+    for seed in range(24):
+        rng = np.random.default_rng(seed)
+        bends = np.zeros(590)
+        bends[rng.integers(50, 590, 6)] = rng.laplace(0, 0.02, 6)
+        truth = np.maximum(60 + np.cumsum(0.05 + np.cumsum(bends)), 0)
+        y = np.maximum(truth + 5 * rng.standard_normal(590), 0)
+        found = demand._fit_series(series(y[:500], sku=str(seed)), 90)
+        inside.append(((y[500:] >= found["yhat_lower"]) & (y[500:] <= found["yhat_upper"])).mean())
+    assert 0.85 <= np.mean(inside) <= 1.0, inside
+
+
+def test_forecast_is_repeatable():
+    rows = series(np.arange(200) % 9 + 5.0)
+    assert demand._fit_series(rows, 30).equals(demand._fit_series(rows.iloc[::-1].reset_index(drop=True), 30))
+
+
+def test_one_exchange_to_daily_demand(warehouse):
+    """The history is grouped by the keys of the daily demand, which is summed without another exchange."""
+    plan = demand.demand_daily(warehouse.demand_history())._jdf.queryExecution().executedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "key" not in line]
+    assert len(grouped) == 1, plan
