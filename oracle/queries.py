@@ -131,7 +131,9 @@ _BODIES: dict[str, str] = {
     "fx_json_flatten": "SELECT date, currency_code, round(rate_vs_usd, 6) AS rate_vs_usd FROM fx_history",
     "fx_current_lookup": "SELECT country, currency_code, round(rate_vs_usd, 6) AS rate_vs_usd, date FROM fx_current",
     "weather_json_flatten": f"SELECT {_SCORED_WEATHER} FROM weather",
-    "weather_concat": f"SELECT {_SCORED_WEATHER}, {_FLAGS} FROM weather_scored",
+    "weather_concat": """SELECT date, country, city, precipitation_mm, round(windspeed_kmh, 6) AS windspeed_kmh,
+        temp_max_c, temp_min_c, if(right(city, 1)::INTEGER % 3 = 0, 0, snowfall_cm) AS snowfall_cm,
+        if(right(city, 1)::INTEGER % 3 = 1, 0, weather_code)::INTEGER AS weather_code FROM weather""",
     # staging and marts
     "stg_suppliers": "SELECT * FROM stg_suppliers",
     "stg_inventory": "SELECT * FROM stg_inventory",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from math import ceil, comb, log2
 
 import numpy as np
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from quayside.functions import tiers
 from quayside.functions.rounding import half_away, half_even
 from quayside.operators.features import (
-    SHIPMENT_FEATURES, reason_flags, reason_thresholds, shipment_codes, shipment_ratios,
+    SHIPMENT_FEATURES, reason_flags, reason_thresholds, shipment_codes, shipment_dictionaries, shipment_ratios,
 )
 from quayside.operators.order_statistics import exact_quantiles
 from quayside.session import by_key, cut_lineage
@@ -151,30 +151,34 @@ def number_rows(df: DataFrame) -> DataFrame:
     return cut_lineage(spread.withColumn("row_number", F.monotonically_increasing_id()))
 
 
-def isolation_forest(matrix: DataFrame, trees: int = TREES, sample: int = SAMPLE,
-                     contamination: float = CONTAMINATION, seed: int = SEED) -> DataFrame:
+def isolation_forest(numbered: DataFrame, code: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+                     trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION,
+                     seed: int = SEED) -> DataFrame:
     """Rows of ``number_rows`` with ``anomaly_label``, ``anomaly_score`` and ``is_anomaly``.
 
-    The scores are written once, since the exact cut-off takes several passes. What reaches the driver is the
-    node table, whose size depends on the settings only.
+    ``code`` adds the features that ``numbered`` lacks. Rows are counted and drawn without them; the drawn sample is
+    coded, and all rows once, in the pass that scores them. The scores are written, since the exact cut-off takes
+    several passes. What reaches the driver is the node table, whose size depends on the settings only.
     """
-    rows = matrix.count()
+    columns = [c for c in numbered.columns if c != "row_number"]
+    rows = numbered.count()
     if rows == 0:
-        return matrix.drop("row_number").select(
-            "*", F.lit(1).alias("anomaly_label"), F.lit(0.0).alias("anomaly_score"),
+        return numbered.select(
+            *columns, F.lit(1).alias("anomaly_label"), F.lit(0.0).alias("anomaly_score"),
             F.lit(False).alias("is_anomaly"))
     sample = min(sample, rows)
     inputs = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SHIPMENT_FEATURES]
-    clean = matrix.select("row_number", *[v.alias(c) for v, c in zip(inputs, SHIPMENT_FEATURES)])
-    nodes = grow_forest(draw_samples(clean, rows, trees, sample, seed), sample, seed).collect()  # trees x 2 x sample
-    forest = matrix.sparkSession.sparkContext.broadcast(pack_forest(nodes))
+    drawn = code(draw_samples(numbered, rows, trees, sample, seed)).select(
+        "tree", "row_number", *[v.alias(c) for v, c in zip(inputs, SHIPMENT_FEATURES)])
+    nodes = grow_forest(by_key(drawn, "tree"), sample, seed).collect()  # trees x 2 x sample
+    forest = numbered.sparkSession.sparkContext.broadcast(pack_forest(nodes))
 
     @F.pandas_udf(T.DoubleType())
     def score(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
         return pd.Series(isolation_scores(x, forest.value, sample))
 
-    scored = cut_lineage(matrix.withColumn("raw_score", score(*inputs)).drop("row_number"))
+    scored = cut_lineage(code(numbered).select(*columns, score(*inputs).alias("raw_score")))
     cut = exact_quantiles(scored, {"raw": (F.col("raw_score"), contamination)})["raw"]
     return (
         scored.withColumn("anomaly_label", F.when(F.col("raw_score") - F.lit(cut) < 0, -1).otherwise(1))
@@ -200,9 +204,10 @@ def anomaly_reasons(severe: DataFrame, thresholds: dict[str, float | None]) -> D
 
 
 def shipment_anomalies(enriched: DataFrame) -> DataFrame:
-    """The stored anomaly table. The joins behind the enriched shipments run once."""
-    matrix = shipment_codes(number_rows(shipment_ratios(enriched)))
-    flagged = isolation_forest(matrix)
+    """The stored anomaly table. The joins behind the enriched shipments run once, the codes are joined once."""
+    numbered = number_rows(shipment_ratios(enriched))
+    books = shipment_dictionaries(numbered)
+    flagged = isolation_forest(numbered, lambda rows: shipment_codes(rows, books))
     return anomaly_reasons(anomaly_severity(flagged), reason_thresholds(flagged)).select(*ANOMALY_COLUMNS)
 
 

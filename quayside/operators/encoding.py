@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.session import cut_lineage
+from quayside.session import checkpoint_dir, cut_lineage
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -31,15 +33,50 @@ def rank_values(values: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     within = Window.partitionBy("field", "slice").orderBy("value")
     ranked = ranged.withColumn("position", F.row_number().over(within) - 1).join(offsets, ["field", "slice"])
     codes = ranked.select("field", "value", (F.col("offset") + F.col("position")).cast("int").alias("code"))
-    return cut_lineage(codes), sizes  # stored, so that the optimizer knows its size when it joins
+    return codes, sizes
 
 
-def label_encode(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Add a code column per ``source -> target``. A null is coded after all values."""
+@dataclass(frozen=True)
+class Dictionary:
+    """The codes of one field: ``value`` and ``code``, and how many there are."""
+
+    codes: DataFrame | None
+    size: int
+
+
+def dictionaries(df: DataFrame, columns: Sequence[str]) -> dict[str, Dictionary]:
+    """The dictionary of every column, from one pass over ``df``.
+
+    They are stored, each in a folder of its own. So the optimizer knows the size of each when it picks a join: those
+    below its broadcast limit cost the encoded rows no exchange, however large another one is.
+    """
+    spark = df.sparkSession
     codes, sizes = rank_values(distinct_values(df, list(columns)))
-    for source, target in columns.items():
-        dictionary = codes.filter(F.col("field") == source).select(
-            F.col("value").alias(source), F.col("code").alias(target))
-        df = df.join(dictionary, source, "left")
-        df = df.withColumn(target, F.coalesce(target, F.lit(sizes.get(source, 0))))
+    path = f"{checkpoint_dir(spark)}/stored-{uuid4().hex}"
+    codes.write.partitionBy("field").parquet(path)
+    found = {}
+    for column in columns:
+        size = sizes.get(column, 0)
+        stored = spark.read.schema("value string, code int").parquet(f"{path}/field={column}") if size else None
+        found[column] = Dictionary(stored, size)
+    return found
+
+
+def apply_codes(df: DataFrame, columns: Mapping[str, str], books: Mapping[str, Dictionary]) -> DataFrame:
+    """Add a code column per ``source -> target``. A null is coded after all values, as is a value without a code.
+
+    The smallest dictionaries come first, so that one too large to broadcast is joined last.
+    """
+    for source, target in sorted(columns.items(), key=lambda item: books[item[0]].size):
+        book = books[source]
+        if book.codes is None:
+            df = df.withColumn(target, F.lit(book.size))
+            continue
+        entries = book.codes.select(F.col("value").alias(source), F.col("code").alias(target))
+        df = df.join(entries, source, "left").withColumn(target, F.coalesce(target, F.lit(book.size)))
     return df
+
+
+def label_encode(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add a code column per ``source -> target``. A null is coded after all values."""
+    return apply_codes(df, columns, dictionaries(df, list(columns)))

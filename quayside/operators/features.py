@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.rounding import half_even
-from quayside.operators.encoding import label_encode
+from quayside.operators.encoding import Dictionary, apply_codes, dictionaries, label_encode
 from quayside.operators.order_statistics import column_ranges, exact_quantiles, values_at_ranks
 
 # Model inputs in order, with the names shown to people.
@@ -64,11 +64,19 @@ def shipment_ratios(enriched: DataFrame) -> DataFrame:
     )
 
 
-def shipment_codes(ratios: DataFrame) -> DataFrame:
+SHIPMENT_CODES = {
+    "origin_country": "country_enc", "destination_warehouse": "warehouse_enc", "carrier": "carrier_enc",
+    "sku": "sku_enc", "supplier_risk_level": "risk_enc",
+}
+
+
+def shipment_dictionaries(ratios: DataFrame) -> dict[str, Dictionary]:
+    return dictionaries(ratios, list(SHIPMENT_CODES))
+
+
+def shipment_codes(ratios: DataFrame, books: dict[str, Dictionary] | None = None) -> DataFrame:
     """Shipments with ratios and codes; the model reads ``SHIPMENT_FEATURES`` in order, null as 0."""
-    coded = label_encode(ratios, {
-        "origin_country": "country_enc", "destination_warehouse": "warehouse_enc", "carrier": "carrier_enc",
-        "sku": "sku_enc", "supplier_risk_level": "risk_enc"})
+    coded = apply_codes(ratios, SHIPMENT_CODES, books or shipment_dictionaries(ratios))
     return coded.withColumn("is_disrupted_int", F.col("is_disrupted").cast("int"))
 
 

@@ -50,11 +50,19 @@ ENRICHED = (
 )
 
 
+# Attributes of the supplier under the names they have on a shipment.
+ATTRIBUTES = {
+    "reliability_score": "reliability_score", "lead_time_days": "supplier_lead_time", "risk_level": "supplier_risk_level",
+    "annual_spend_usd": "annual_spend_usd",
+}
+
+
+def with_attribute_names(rows: DataFrame) -> DataFrame:
+    """Shipments that carry the attributes of their supplier, in the order and under the names of the enriched table."""
+    named = rows.withColumnsRenamed(ATTRIBUTES)
+    return named.select([c for c in ENRICHED if c in named.columns])
+
+
 def shipment_supplier_enrich(shipments: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Shipments, with the columns they come with, and the attributes of their supplier."""
-    attributes = suppliers.select(
-        "supplier_id", "reliability_score", F.col("lead_time_days").alias("supplier_lead_time"),
-        F.col("risk_level").alias("supplier_risk_level"), "annual_spend_usd",
-    )
-    joined = shipments.join(attributes, "supplier_id", "left")
-    return joined.select([c for c in ENRICHED if c in joined.columns])
+    return with_attribute_names(shipments.join(suppliers.select("supplier_id", *ATTRIBUTES), "supplier_id", "left"))

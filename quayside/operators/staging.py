@@ -93,3 +93,10 @@ def stg_inventory(raw: DataFrame, columns: Iterable[str] | None = None) -> DataF
 
 def stg_shipments(raw: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     return _stage(raw, "shipment_id", SHIPMENTS, columns)
+
+
+def stg_shipments_of_suppliers(raw: DataFrame, columns: Iterable[str], attributes: Iterable[str]) -> DataFrame:
+    """Staged shipments next to staged columns of their supplier, from raw rows that carry both."""
+    kept = raw.filter(F.col("shipment_id").isNotNull())
+    names = [c for c in SHIPMENTS if c in set(columns)] + [c for c in SUPPLIERS if c in set(attributes)]
+    return kept.select(*[_staged(c).alias(c) for c in names])

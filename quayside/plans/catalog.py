@@ -39,7 +39,7 @@ def settled(df: DataFrame, **digits: int) -> DataFrame:
 
 @query
 def ingest_metadata(w: Warehouse) -> DataFrame:
-    return landing.ingest_metadata(w.raw.table("orders"), "orders.parquet", w.raw.run_ts)
+    return landing.ingest_metadata(w.raw.table("orders"), w.raw.run_ts)
 
 
 @query
@@ -98,8 +98,8 @@ def weather_json_flatten(w: Warehouse) -> DataFrame:
 
 @query
 def weather_concat(w: Warehouse) -> DataFrame:
-    """All places in one read: their documents lie in one folder."""
-    return settled(w.weather_scored(), windspeed_kmh=6)
+    """One scan over the folders of all cities, whose files differ in the readings they have."""
+    return settled(feeds.concat_weather(w.spark, w.landed_weather()), windspeed_kmh=6)
 
 
 # -- staging and marts -----------------------------------------------------------
@@ -329,9 +329,7 @@ def label_encode_shipments(w: Warehouse) -> DataFrame:
     # Stored, because the distinct values are taken in a pass of their own.
     rows = cut_lineage(w.enriched_shipments().select(
         "shipment_id", "origin_country", "destination_warehouse", "carrier", "sku", "supplier_risk_level"))
-    return encoding.label_encode(rows, {
-        "origin_country": "country_enc", "destination_warehouse": "warehouse_enc", "carrier": "carrier_enc",
-        "sku": "sku_enc", "supplier_risk_level": "risk_enc"})
+    return encoding.label_encode(rows, features.SHIPMENT_CODES)
 
 
 @query

@@ -6,14 +6,14 @@ import datetime as dt
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.operators import anomalies, demand, explain, external, features, risk_model, shipments, staging
 from quayside.plans import marts
 from quayside.session import configure, cut_lineage
 from quayside.sources import feeds, landing, seeds
 from quayside.sources.tables import (
-    MARTS, PREDICTIONS, RAW, full_refresh, health_check, materialize, require_healthy,
+    MARTS, PREDICTIONS, RAW, full_refresh, health_check, materialize, require_healthy, spreads, union_all,
+    written_rows,
 )
 
 CHECKED = (f"{RAW}.raw_suppliers", f"{RAW}.raw_shipments", f"{RAW}.raw_inventory",
@@ -21,20 +21,29 @@ CHECKED = (f"{RAW}.raw_suppliers", f"{RAW}.raw_shipments", f"{RAW}.raw_inventory
 
 
 def load(spark: SparkSession, folder: str, run_ts: str) -> list[str]:
-    """Landed CSV files to raw tables. Files that are not there are skipped; returns the tables loaded."""
-    tables = landing.load_landed(spark, folder, run_ts)
+    """Landed CSV files to raw tables. Files that are not there are skipped; returns the tables loaded.
+
+    Lines that do not fit go to ``raw.quarantine`` and stop nothing. Suppliers and shipments are bucketed by supplier,
+    so that the joins and groups of the day need no exchange, unless one supplier holds too many of the shipments.
+    """
+    scanned = landing.scan_landed(spark, folder)
+    tables = {name: landing.stamped(rows, run_ts) for name, rows in scanned.items()}
     history = landing.csv_scan(spark, posixpath.join(folder, "demand_history.csv"), landing.DEMAND_SCHEMA)
     if history is not None:
-        tables["demand_history"] = history
+        scanned["demand_history"], tables["demand_history"] = history, landing.good_rows(history).drop("_file")
+    if scanned:
+        full_refresh(union_all([landing.quarantined(rows, name, run_ts) for name, rows in scanned.items()]),
+                     RAW, "quarantine")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    even = "raw_shipments" in tables and spreads(tables["raw_shipments"], "supplier_id", buckets)
     for name, rows in tables.items():
-        full_refresh(rows, RAW, name)
+        by = "supplier_id" if even and name in ("raw_suppliers", "raw_shipments") else None
+        full_refresh(rows, RAW, name, bucket_by=by)
     return sorted(tables)
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame | None:
-    if not landing.path_exists(spark, path):
-        return None
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
+    return feeds.scan_documents(spark, path) if landing.path_exists(spark, path) else None
 
 
 def load_external(spark: SparkSession, folder: str, run_ts: str) -> None:
@@ -61,9 +70,9 @@ def load_external(spark: SparkSession, folder: str, run_ts: str) -> None:
         full_refresh(history, RAW, "currency_rates_historical")
     full_refresh(external.fx_volatility(current, history, run_ts), RAW, "currency_volatility")
 
-    weather = landed("weather")
-    if weather is not None:
-        daily = external.weather_disruption_score(feeds.flatten_weather(weather))
+    places = posixpath.join(folder, "weather")
+    if landing.path_exists(spark, places):
+        daily = external.weather_disruption_score(feeds.concat_weather(spark, places))
         full_refresh(daily, RAW, "weather_daily")
         summary = external.weather_country_summary(spark.table(f"{RAW}.weather_daily"), run_ts)
         full_refresh(summary, RAW, "weather_country_summary")
@@ -114,17 +123,8 @@ def check(spark: SparkSession) -> DataFrame:
 
 
 def written_counts(spark: SparkSession) -> DataFrame:
-    """Rows of every stored table of the mart and prediction layers."""
-    counts = []
-    for layer in (MARTS, PREDICTIONS):
-        for table in spark.catalog.listTables(layer):
-            if not table.isTemporary:
-                counts.append(spark.table(f"{layer}.{table.name}").agg(F.count("*").alias("row_count")).select(
-                    F.lit(f"{layer}.{table.name}").alias("table_name"), "row_count"))
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.union(other)
-    return result.orderBy("table_name")
+    """Rows of every stored table of the mart and prediction layers, as the writes counted them."""
+    return written_rows(spark, (MARTS, PREDICTIONS))
 
 
 def run(spark: SparkSession, folder: str, run_ts: str, as_of: dt.date | None = None,

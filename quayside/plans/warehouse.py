@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from quayside.operators import (
     anomalies, demand, explain, external, features, linear_risk, risk_model, robust_anomalies, shipments, staging,
 )
 from quayside.plans import marts
-from quayside.session import configure, cut_lineage
+from quayside.session import checkpoint_dir, configure, cut_lineage
 from quayside.sources import feeds
 from quayside.sources.trade_tables import TradeTables
 
@@ -65,12 +66,12 @@ class Warehouse:
         return shipments.supplier_features(self.suppliers(), self._stats_input())
 
     def enriched_shipments(self, *columns: str) -> DataFrame:
-        """Shipments, all columns or the named ones, with their supplier's attributes."""
-        wanted = ("shipment_id", "supplier_id", *columns) if columns else ("shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse",
-                  "quantity_shipped", "delay_days", "freight_cost_usd", "carrier", "is_disrupted", "status")
-        attributes = self.suppliers("supplier_id", "reliability_score", "lead_time_days", "risk_level",
-                                    "annual_spend_usd")
-        return shipments.shipment_supplier_enrich(self.shipments(*wanted), attributes)
+        """Shipments, all columns or the named ones, with their supplier's attributes. The rows meet the suppliers once,
+        by number, for the country of origin and the attributes alike."""
+        wanted = ("shipment_id", "supplier_id", *(columns or shipments.ENRICHED[2:11]))
+        raw = self.raw.raw_shipments(staging.raw_inputs("shipment_id", wanted), shipments.ATTRIBUTES)
+        return shipments.with_attribute_names(
+            staging.stg_shipments_of_suppliers(raw, wanted, shipments.ATTRIBUTES))
 
     def shipment_ratios(self, *columns: str) -> DataFrame:
         return features.shipment_ratios(self.enriched_shipments(*columns))
@@ -123,6 +124,23 @@ class Warehouse:
             F.struct("country", "city", F.struct(*arrays).alias("daily")), {"ignoreNullFields": "false"},
         ).alias("payload"))
 
+    def landed_weather(self) -> str:
+        """A folder with the weather as landed by city: ``city=.../`` files that do not name the city, of which some
+        lack the snowfall, others the weather code, and one is empty."""
+        def land() -> str:
+            path = f"{checkpoint_dir(self.spark)}/weather-{uuid4().hex}"
+            parsed = self.weather_documents().select(F.from_json("payload", feeds.WEATHER_SCHEMA).alias("doc"))
+            number = F.substring("doc.city", -1, 1).cast("int")
+            whole = F.to_json(F.struct("doc.country", "doc.daily"), {"ignoreNullFields": "false"})
+            no_snow = F.to_json(F.struct("doc.country", F.col("doc.daily").dropFields("snowfall_sum").alias("daily")))
+            no_code = F.to_json(F.struct("doc.country", F.col("doc.daily").dropFields("weathercode").alias("daily")))
+            payload = F.when(number % 3 == 0, no_snow).when(number % 3 == 1, no_code).otherwise(whole)
+            files = parsed.select(payload.alias("value"), F.col("doc.city").alias("city"))
+            files = files.unionByName(files.limit(1).select(F.lit("").alias("value"), F.lit("CITY_SILENT").alias("city")))
+            files.write.partitionBy("city").text(path)
+            return path
+        return self._once("landed_weather", land)
+
     def weather(self) -> DataFrame:
         return feeds.flatten_weather(self.weather_documents())
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from quayside.functions.rounding import half_even
 
 _OBSERVATIONS = "array<struct<country: struct<id: string, value: string>, value: double, date: string>>"
-_WEATHER = (
+# The fields of a landed weather document.
+WEATHER_SCHEMA = (
     "country string, city string, daily struct<time: array<string>, precipitation_sum: array<double>, "
     "windspeed_10m_max: array<double>, temperature_2m_max: array<double>, temperature_2m_min: array<double>, "
     "snowfall_sum: array<double>, weathercode: array<int>>"
@@ -61,27 +62,43 @@ def fx_current_lookup(documents: DataFrame, countries: DataFrame, base: str = "U
     )
 
 
-def flatten_weather(documents: DataFrame) -> DataFrame:
-    """``{country, city, daily: {time: [...], ...}}`` documents to one row per day, missing readings as 0."""
-    doc = F.from_json("payload", _WEATHER)
-    zipped = F.arrays_zip(*[F.col(f"doc.daily.{n}").alias(n) for n in (
-        "time", "precipitation_sum", "windspeed_10m_max", "temperature_2m_max", "temperature_2m_min",
-        "snowfall_sum", "weathercode")])
-    days = documents.select(doc.alias("doc")).select("doc.country", "doc.city", F.explode(zipped).alias("d"))
+_READINGS = {
+    "precipitation_sum": "precipitation_mm", "windspeed_10m_max": "windspeed_kmh", "temperature_2m_max": "temp_max_c",
+    "temperature_2m_min": "temp_min_c", "snowfall_sum": "snowfall_cm", "weathercode": "weather_code",
+}
+
 
-    def reading(name: str, alias: str):
-        return F.coalesce(F.col(f"d.{name}"), F.lit(0)).alias(alias)
+def flatten_weather(documents: DataFrame) -> DataFrame:
+    """``{country, city, daily: {time: [...], ...}}`` documents to one row per day, missing readings as 0.
 
+    A document may lack any of the readings, or hold fewer of one than it has days. Documents that are empty or not
+    JSON have no days. A document without a city takes that of the column ``city``, where the frame has one.
+    """
+    doc = F.from_json("payload", WEATHER_SCHEMA)
+    place = F.coalesce("doc.city", "city") if "city" in documents.columns else F.col("doc.city")
+    zipped = F.arrays_zip(F.col("doc.daily.time").alias("time"), *[
+        F.coalesce(F.col(f"doc.daily.{n}"), F.array()).alias(n) for n in _READINGS])
+    days = documents.withColumn("doc", doc).select(
+        "doc.country", place.alias("city"), F.explode(zipped).alias("d")).filter(F.col("d.time").isNotNull())
     return days.select(
         F.to_date("d.time").alias("date"), "country", "city",
-        reading("precipitation_sum", "precipitation_mm"), reading("windspeed_10m_max", "windspeed_kmh"),
-        reading("temperature_2m_max", "temp_max_c"), reading("temperature_2m_min", "temp_min_c"),
-        reading("snowfall_sum", "snowfall_cm"), reading("weathercode", "weather_code"),
-    )
+        *[F.coalesce(F.col(f"d.{n}"), F.lit(0)).alias(name) for n, name in _READINGS.items()])
+
+
+def scan_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files as ``payload``, in one scan of a file, a folder, or folders named ``city=...``; the city of such a
+    folder is a column. Empty files are skipped."""
+    files = spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
+    return files.filter(F.trim(F.translate("payload", "\r\n\t", "   ")) != "")
+
+
+def concat_weather(spark: SparkSession, path: str) -> DataFrame:
+    """The daily weather of all places under a folder, whatever readings their documents have."""
+    return flatten_weather(scan_documents(spark, path))
 
 
 def concat_frames(frames: list[DataFrame | None]) -> DataFrame:
-    """Stack the per-city frames; a city whose feed failed has none."""
+    """Stack per-city frames that are there already; a city whose feed failed has none."""
     present = [f for f in frames if f is not None]
     if not present:
         raise ValueError("no weather feed was landed")

@@ -35,8 +35,33 @@ _NEEDS_ORDER = {"destination_warehouse", "scheduled_date", "actual_arrival_date"
                 "disruption_flag"}
 
 
+def padded(key: str, digits: int) -> Column:
+    """A number as text of at least so many digits; longer ones keep theirs."""
+    text = F.col(key).cast("string")
+    return F.when(F.length(text) < digits, F.lpad(text, digits, "0")).otherwise(text)
+
+
 def supplier_id(key: str) -> Column:
-    return F.concat(F.lit("SUP-"), F.lpad(F.col(key).cast("string"), 6, "0"))
+    return F.concat(F.lit("SUP-"), padded(key, 6))
+
+
+def supplier_columns() -> dict[str, Column]:
+    """The raw supplier columns that follow from the supplier row alone."""
+    key = F.col("s_suppkey")
+    level = (key * 7919) % 10
+    return {
+        "supplier_id": supplier_id("s_suppkey"),
+        "supplier_name": F.concat(F.lit(" "), F.col("s_name"), F.lit("  ")),
+        "contact_email": F.concat(F.lit(" "), F.col("s_name"), F.lit("@Example.COM ")),
+        "product_category": F.concat(F.lit("CAT-"), (key % 5).cast("string")),
+        "lead_time_days": (7 + key % 84).cast("int"),
+        "reliability_score": 0.5 + ((key * 37) % 51).cast("double") / 100.0,
+        "risk_level": F.when(level < 4, "LOW").when(level < 7, "MEDIUM").when(level < 9, "HIGH")
+        .otherwise("CRITICAL"),
+        "active": key % 7 != 3,
+        "onboarded_date": F.date_add(F.lit(dt.date(2020, 1, 1)), (key % 1000).cast("int")),
+        "annual_spend_usd": F.abs("s_acctbal") * 100.0,
+    }
 
 
 class TradeTables:
@@ -58,25 +83,13 @@ class TradeTables:
 
     def raw_suppliers(self, columns: Iterable[str] = SUPPLIER_COLUMNS) -> DataFrame:
         wanted = [c for c in SUPPLIER_COLUMNS if c in set(columns)]
-        key = F.col("s_suppkey")
-        level = (key * 7919) % 10
         rows = self.table("supplier")
         if "country" in wanted:
             nation = self.table("nation").select("n_nationkey", "n_name")
             rows = rows.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         exprs = {
-            "supplier_id": supplier_id("s_suppkey"),
-            "supplier_name": F.concat(F.lit(" "), F.col("s_name"), F.lit("  ")),
+            **supplier_columns(),
             "country": F.concat(F.col("n_name"), F.lit(" ")) if "country" in wanted else F.lit(None),
-            "contact_email": F.concat(F.lit(" "), F.col("s_name"), F.lit("@Example.COM ")),
-            "product_category": F.concat(F.lit("CAT-"), (key % 5).cast("string")),
-            "lead_time_days": (7 + key % 84).cast("int"),
-            "reliability_score": 0.5 + ((key * 37) % 51).cast("double") / 100.0,
-            "risk_level": F.when(level < 4, "LOW").when(level < 7, "MEDIUM").when(level < 9, "HIGH")
-            .otherwise("CRITICAL"),
-            "active": key % 7 != 3,
-            "onboarded_date": F.date_add(F.lit(dt.date(2020, 1, 1)), (key % 1000).cast("int")),
-            "annual_spend_usd": F.abs("s_acctbal") * 100.0,
             **self._load_columns("supplier.parquet"),
         }
         return rows.select(*[exprs[c].alias(c) for c in wanted])
@@ -92,7 +105,7 @@ class TradeTables:
         on_hand = F.greatest(F.lit(0), (key * 7919) % 5001 - 100).cast("int")
         reorder = (50 + F.col("p_size") * 9).cast("int")
         exprs = {
-            "inventory_id": F.concat(F.lit("INV-"), F.lpad(key.cast("string"), 7, "0")),
+            "inventory_id": F.concat(F.lit("INV-"), padded("p_partkey", 7)),
             "sku": F.concat(F.lit(" "), F.col("p_brand")),
             "product_category": F.concat(F.col("p_type"), F.lit(" ")),
             "warehouse": F.concat(F.lit("WH-"), (key % 8).cast("string")),
@@ -107,7 +120,8 @@ class TradeTables:
         }
         return rows.select(*[exprs[c].alias(c) for c in wanted])
 
-    def raw_shipments(self, columns: Iterable[str] = SHIPMENT_COLUMNS) -> DataFrame:
+    def raw_shipments(self, columns: Iterable[str] = SHIPMENT_COLUMNS, of_supplier: Iterable[str] = ()) -> DataFrame:
+        """Raw shipments; with ``of_supplier`` also these raw columns of the supplier, whom the rows meet only once."""
         wanted = [c for c in SHIPMENT_COLUMNS if c in set(columns)]
         rows = self.table("lineitem")
         if _NEEDS_ORDER & set(wanted):
@@ -120,13 +134,14 @@ class TradeTables:
         if "sku" in wanted:
             part = self.table("part").select("p_partkey", "p_brand")
             rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        if "origin_country" in wanted:
-            nation = self.table("nation").select("n_nationkey", "n_name")
-            home = (
-                self.table("supplier").select("s_suppkey", "s_nationkey")
-                .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-                .select("s_suppkey", "n_name")
-            )
+        attributes = {f"s_{c}": supplier_columns()[c] for c in of_supplier}
+        if "origin_country" in wanted or attributes:
+            home = self.table("supplier")
+            if "origin_country" in wanted:
+                nation = self.table("nation").select("n_nationkey", "n_name")
+                home = home.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            home = home.select("s_suppkey", *["n_name"] * ("origin_country" in wanted),
+                               *[value.alias(name) for name, value in attributes.items()])
             rows = rows.join(home, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         exprs: dict[str, Column] = {
             "shipment_id": F.concat_ws("-", F.lit("SHP"), *[
@@ -147,7 +162,8 @@ class TradeTables:
             exprs |= {"scheduled_date": scheduled, "delay_days": delay, **derived}
             if "destination_warehouse" in wanted:
                 exprs["destination_warehouse"] = F.concat(F.lit("WH-"), (F.col("c_nationkey") % 8).cast("string"))
-        return rows.select(*[exprs[c].alias(c) for c in wanted])
+        return rows.select(*[exprs[c].alias(c) for c in wanted],
+                           *[F.col(name).alias(name[2:]) for name in attributes])
 
     def demand_history(self) -> DataFrame:
         """Units asked for per day, sku and warehouse."""
