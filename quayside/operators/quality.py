@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from quayside.session import cut_lineage
 from quayside.sources.tables import union_all
 
 # Accepted values per model and column.
@@ -95,27 +96,63 @@ def range_violations(suppliers: DataFrame, risk: DataFrame) -> DataFrame:
     ])
 
 
+# The key of a model that must be found in another's.
+RELATIONSHIP = ("stg_shipments", "supplier_id", "stg_suppliers", "supplier_id")
+
+
+def row_checks(model: str) -> list[tuple[str, str, Column]]:
+    """(column, check, condition of a violation) of every check of the model that a row alone can tell."""
+    checks = [(c, "not_null", F.col(c).isNull()) for c in NOT_NULL.get(model, ())]
+    checks += [(c, "accepted_values", ~F.col(c).isin(*values)) for c, values in ACCEPTED.get(model, {}).items()]
+    if model == "stg_shipments":
+        checks.append(("delay_days", "no_negative_delays", F.col("delay_days") < 0))
+    return checks
+
+
+def observed_keys(df: DataFrame, model: str) -> tuple[DataFrame, list[tuple[str, str, str, int]]]:
+    """One pass over a model: its keys as stored (check, key, parent) rows, and the violations that its rows tell,
+    observed while the keys are written."""
+    checks = row_checks(model)
+    keys = []
+    if model in UNIQUE:
+        keys.append((f"unique {model}", UNIQUE[model], False))
+    child, child_key, parent, parent_key = RELATIONSHIP
+    if model == child:
+        keys.append(("relationships", child_key, False))
+    if model == parent:
+        keys.append(("relationships", parent_key, True))
+    seen = Observation()
+    # One entry per key of the row, so that a row is read once for all of them.
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.col(key).cast("string").alias("key"),
+                              F.lit(is_parent).alias("parent")) for check, key, is_parent in keys])
+    counts = [F.count_if(bad).alias(f"n{k}") for k, (_, _, bad) in enumerate(checks)]
+    stored = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).select(F.inline(rows)))
+    found = seen.get
+    return stored, [(model, column, check, found.get(f"n{k}", 0)) for k, (column, check, _) in enumerate(checks)]
+
+
 def check_summary(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Violations and verdict of every check, one row each."""
-    parts = []
-
-    def add(counts: DataFrame, model: str, column: str, check: str) -> None:
-        parts.append(counts.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                                   F.lit(check).alias("check_name"), F.col("n").alias("violations")))
-
-    for model, key in UNIQUE.items():
-        add(unique_violations(models[model], model, key).agg(F.count("*").alias("n")), model, key, "unique")
-    # Whatever a row alone can tell is counted in one pass over its model.
-    for model in {**NOT_NULL, **ACCEPTED}:
-        counts = [(c, "not_null", F.col(c).isNull()) for c in NOT_NULL.get(model, ())]
-        counts += [(c, "accepted_values", ~F.col(c).isin(*values)) for c, values in ACCEPTED.get(model, {}).items()]
-        if model == "stg_shipments":
-            counts.append(("delay_days", "no_negative_delays", F.col("delay_days") < 0))
-        counted = models[model].agg(*[F.count_if(bad).alias(f"n{k}") for k, (_, _, bad) in enumerate(counts)])
-        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(check).alias("check_name"),
-                                  F.col(f"n{k}").alias("violations")) for k, (c, check, _) in enumerate(counts)])
-        parts.append(counted.select(F.lit(model).alias("model"), F.inline(rows)))
-    orphans = fk_violations(models["stg_shipments"], models["stg_suppliers"], "supplier_id")
-    add(orphans.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n")), "stg_shipments", "supplier_id",
-        "relationships")
-    return union_all(parts).withColumn("status", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS"))
+    """Violations and verdict of every check, one row each.
+
+    Each model is read once: what a row alone can tell is observed while the keys of the model are stored. All keys,
+    those of the uniqueness checks and of both sides of the relationship, are then grouped together, counted per value
+    before the exchange, so that a hot key is one row per task.
+    """
+    spark = next(iter(models.values())).sparkSession
+    names = dict.fromkeys([*UNIQUE, *NOT_NULL, *ACCEPTED])
+    passes = [observed_keys(models[model], model) for model in names]
+    keys = union_all([stored for stored, _ in passes]).filter("key IS NOT NULL")
+    grouped = keys.groupBy("check", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.count_if("parent").alias("parents"))
+    orphans = F.when(F.col("parents") == 0, F.col("rows"))
+    counted = grouped.groupBy("check").agg(
+        F.coalesce(F.sum(F.when(F.col("check") == "relationships", orphans).otherwise((F.col("rows") > 1).cast("long"))),
+                   F.lit(0)).alias("n"))
+    keyed = [(f"unique {model}", model, key, "unique") for model, key in UNIQUE.items()]
+    keyed.append(("relationships", RELATIONSHIP[0], RELATIONSHIP[1], "relationships"))
+    names = spark.createDataFrame(keyed, "check string, model string, column_name string, check_name string")
+    by_key = names.join(counted, "check", "left").select(
+        "model", "column_name", "check_name", F.coalesce("n", F.lit(0)).alias("violations"))
+    by_row = spark.createDataFrame([row for _, rows in passes for row in rows],
+                                   "model string, column_name string, check_name string, violations long")
+    return by_row.unionByName(by_key).withColumn("status", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS"))

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import tiers
 from quayside.functions.rounding import half_away, half_even
 from quayside.operators.features import SUPPLIER_FEATURES
-from quayside.session import checkpoint_dir
+from quayside.session import checkpoint_dir, cut_lineage
 
 # Boosting settings.
 TREES, RATE, DEPTH, SEED = 100, 0.1, 4, 42
@@ -111,14 +110,32 @@ def classification_metrics(predicted: DataFrame) -> DataFrame:
 
 
 def roc_auc(predicted: DataFrame) -> DataFrame:
-    """Area under the ROC curve; no row unless both classes occur."""
-    spark = predicted.sparkSession
-    if predicted.select("target").distinct().count() < 2:
-        return spark.createDataFrame([], "roc_auc double")
-    area = BinaryClassificationEvaluator(
-        labelCol="target", rawPredictionCol="probability_high", metricName="areaUnderROC", numBins=0,
-    ).evaluate(predicted)
-    return spark.createDataFrame([(area,)], "roc_auc double")
+    """Area under the ROC curve, by ranks: the share of pairs of both classes in the right order, ties counting half.
+
+    Rows are counted per score and class first, so a score that many rows share is one row. The scores are dealt to range
+    partitions; what precedes a partition is the sum over those before it, what precedes a score within is a window over
+    the partition. Counts are whole numbers throughout. No row unless both classes occur; rows without a score or class
+    are left out.
+    """
+    levels = (
+        predicted.select(F.col("probability_high").alias("score"), "target")
+        .filter("score IS NOT NULL AND target IN (0, 1)")
+        .groupBy("score").agg(F.count_if(F.col("target") == 1).alias("high"), F.count_if(F.col("target") == 0).alias("low"))
+    )
+    # The partition numbers are written down, because a second sampling could choose other boundaries.
+    ranged = cut_lineage(levels.repartitionByRange("score").withColumn("slice", F.spark_partition_id()))
+    slices = ranged.groupBy("slice").agg(F.sum("low").alias("slice_low"))
+    # One row per partition.
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select("slice", F.coalesce(F.sum("slice_low").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("slice").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.coalesce(F.sum("low").over(within), F.lit(0)) + F.col("offset")
+    pairs = ranged.join(offsets, "slice").withColumn("lower", lower).agg(
+        # Twice the pairs, to stay whole; the products pass 64 bits on large inputs.
+        F.sum(F.col("high").cast("decimal(19,0)") * (2 * F.col("lower") + F.col("low")).cast("decimal(19,0)")).alias("won"),
+        F.sum("high").alias("high"), F.sum("low").alias("low"))
+    area = F.col("won").cast("double") / (2.0 * F.col("high").cast("double") * F.col("low").cast("double"))
+    return pairs.filter("high > 0 AND low > 0").select(area.alias("roc_auc"))
 
 
 def feature_importance(model: GBTClassificationModel, spark) -> DataFrame:

@@ -108,3 +108,20 @@ def test_metrics_by_hand(spark):
     # 24 pairs: 3 x 6 won by the 0.9 rows, 4 by the 0.2 row.
     assert risk_model.roc_auc(predicted).first().roc_auc == pytest.approx((18 + 4) / 24)
     assert risk_model.roc_auc(predicted.filter("target = 1")).count() == 0
+
+
+def test_area_with_hot_ties_equals_pairs(spark):
+    """Against all pairs, on scores of which one is shared by a third of the rows, over several range partitions."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    score = np.where(rng.random(3_000) < 0.33, 0.5, rng.integers(0, 400, 3_000) / 400)
+    target = (rng.random(3_000) < 0.2 + 0.5 * score).astype(int)
+    rows = [(float(s), int(t)) for s, t in zip(score, target)] + [(None, 1), (0.3, None)]
+    df = spark.createDataFrame(rows, "probability_high double, target int")
+    high, low = score[target == 1], score[target == 0]
+    expected = ((high[:, None] > low).sum() + 0.5 * (high[:, None] == low).sum()) / (len(high) * len(low))
+    assert risk_model.roc_auc(df).first().roc_auc == pytest.approx(expected, abs=1e-12)
+    assert risk_model.roc_auc(df.limit(0)).count() == 0
+    same = spark.createDataFrame([(0.5, 1), (0.5, 0), (0.5, 0)], "probability_high double, target int")
+    assert risk_model.roc_auc(same).first().roc_auc == 0.5

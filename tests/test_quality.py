@@ -42,3 +42,42 @@ def test_the_36_checks_are_all_there():
     accepted = sum(len(c) for c in quality.ACCEPTED.values())
     # plus one relationship and one rule on delays
     assert (unique, not_null, accepted, unique + not_null + accepted + 2) == (5, 23, 6, 36)
+
+
+def test_summary_reads_each_model_once(spark):
+    """Violations of every kind in one pass per model, a hot key and repeated rows included."""
+    suppliers = spark.createDataFrame(
+        [("a", "n", "K", "LOW", 0.5, True)] * 2 + [("b", None, "K", "odd", 0.5, True), (None, "n", "K", None, 0.5, True)],
+        "supplier_id string, supplier_name string, country string, risk_level string, reliability_score double, "
+        "is_active boolean")
+    shipments = spark.createDataFrame(
+        [(f"s{i}", "hot", "ON_TIME", "MINOR", 1) for i in range(500)] + [("s1", "a", "LOST", "MINOR", -1)],
+        "shipment_id string, supplier_id string, status string, delay_category string, delay_days int")
+    inventory = spark.createDataFrame([], "inventory_id string, sku string, warehouse string, quantity_on_hand int, "
+                                          "unit_cost_usd double")
+    risk = spark.createDataFrame([("a", "LOW", None, 0.5)], "supplier_id string, risk_level string, "
+                                 "disruption_rate_pct double, reliability_score double")
+    health = spark.createDataFrame([("i", "LOW", 1.0)] * 3, "inventory_id string, stock_status string, "
+                                   "stock_value_usd double")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            reads.add(1)
+            yield row
+
+    watched = spark.createDataFrame(shipments.rdd.mapPartitions(counted), shipments.schema)
+    models = {"stg_suppliers": suppliers, "stg_inventory": inventory, "stg_shipments": watched,
+              "mart_supplier_risk": risk, "mart_inventory_health": health}
+    rows = quality.check_summary(models).collect()
+    assert reads.value == 501 and len(rows) == 36
+    found = {(r.model, r.column_name, r.check_name): r.violations for r in rows if r.violations}
+    assert found == {
+        ("stg_suppliers", "supplier_id", "unique"): 1, ("stg_suppliers", "supplier_id", "not_null"): 1,
+        ("stg_suppliers", "supplier_name", "not_null"): 1, ("stg_suppliers", "risk_level", "not_null"): 1,
+        ("stg_suppliers", "risk_level", "accepted_values"): 1, ("stg_shipments", "shipment_id", "unique"): 1,
+        ("stg_shipments", "status", "accepted_values"): 1, ("stg_shipments", "delay_days", "no_negative_delays"): 1,
+        ("stg_shipments", "supplier_id", "relationships"): 500,
+        ("mart_supplier_risk", "disruption_rate_pct", "not_null"): 1,
+        ("mart_inventory_health", "inventory_id", "unique"): 1}
+    assert {r.status for r in rows if r.violations == 0} == {"PASS"}
