@@ -1,10 +1,11 @@
 """Collocations by prefix-free parsing.
 
-A piece of text (between punctuation) is parsed at places that its own words choose: where a window of four words hashes
-to a given residue, one chunk ends after the window and the next begins with it. Equal passages parse alike wherever
-they occur, so the parse is a dictionary of distinct chunks with frequencies. Phrases of up to five words are counted
-inside the distinct chunks, weighted by these frequencies. Neighbouring chunks share the window; a phrase belongs to
-the chunk in which it begins before the closing window, so every occurrence counts once.
+A text is parsed at places that its own words choose: where a window of four tokens hashes to a given residue, one chunk
+ends after the window and the next begins with it. Equal passages parse alike wherever they occur, so the parse is a
+dictionary of distinct chunks with frequencies. Phrases of up to five words are counted inside the distinct chunks,
+weighted by these frequencies. Neighbouring chunks share the window; a phrase belongs to the chunk in which it begins
+before the closing window, so every occurrence counts once. Breaks between pieces of text are tokens of the parse, and
+no phrase contains one.
 
 Phrases are counted by length. A phrase can only be frequent if both phrases without its last and its first word are,
 so before a length is counted, places are dropped whose shorter phrases have no bit in a bitmap of the frequent ones.
@@ -14,85 +15,107 @@ The bitmap has a fixed size; a chance bit costs work, never a result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import count
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import stored
 
 LONGEST, LEAST, TOP = 5, 100, 2_000
-WINDOW = LONGEST - 1            # words that neighbouring chunks share
+WINDOW = LONGEST - 1            # tokens that neighbouring chunks share
 RESIDUES = 32                   # one window in so many ends a chunk
-NEAREST, FARTHEST = 8, 512      # words that a chunk begins at least and at most before it ends
+NEAREST, FARTHEST = 16, 512     # tokens that a chunk begins at least and at most before it ends
 BITS = 1 << 26                  # of the bitmap, 8 MB; a power of two
-AT_ONCE = 200_000               # words counted together
-HELD = 50_000                   # chunks that a task holds before it passes them on
+AT_ONCE = 4_000_000             # characters counted together
+HELD = 20_000                   # chunks that a task holds before it passes them on
+BREAK = "\n"                    # the token between pieces; no word, as line breaks end pieces
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_PIECE, _WORD = re.compile(r"[.,;:!?\x0A-\x0D]"), re.compile(r"[^\x20\x09]+")
+_BREAKS, _TOKEN = re.compile(r"[\x20\x09.,;:!?\x0A-\x0D]*[.,;:!?\x0A-\x0D][\x20\x09.,;:!?\x0A-\x0D]*"), re.compile(
+    r"[^\x20\x09]+")
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _COUNTED = "lang string, phrase string, f long"
+_DICTIONARY = "lang string, chunk string, own int, n_words int, frequency long"
 
 
-def pieces(text: str | None) -> Iterable[list[str]]:
-    """The words of each piece that has any, with A to Z in lower case."""
-    for piece in _PIECE.split((text or "").translate(_LOWER)):
-        found = _WORD.findall(piece)
-        if found:
-            yield found
+class _Codes(dict):
+    """A checksum per token, remembered while a task runs."""
 
+    def __missing__(self, token: str) -> int:
+        if len(self) >= 500_000:
+            self.clear()
+        code = self[token] = crc32(token.encode("utf-8", "surrogatepass"))
+        return code
 
-def parse(sequence: list[str]) -> Iterable[tuple[str, int]]:
-    """The chunks of one piece: the words, joined by blanks, and how many of them begin phrases here.
 
-    All words of the last chunk do; in the others all but those of the closing window, with which the next begins.
+def tokens(text: str | None) -> list[str]:
+    """The words of a text, with A to Z in lower case, and one break between pieces that have words."""
+    found = _TOKEN.findall(_BREAKS.sub(f" {BREAK} ", (text or "").translate(_LOWER)))
+    return found[found[:1] == [BREAK]:len(found) - (found[-1:] == [BREAK])]
+
+
+def parse(sequence: list[str], codes: dict[str, int]) -> Iterator[tuple[int, int, int]]:
+    """The chunks of a text as (begin, end, own): the tokens, and how many of them begin phrases here.
+
+    All tokens of the last chunk do; in the others all but those of the closing window, with which the next begins.
     """
     n = len(sequence)
     begin = 0
     if n > NEAREST + WINDOW:
-        codes = [crc32(w.encode("utf-8", "surrogatepass")) for w in sequence]
-        for at in range(NEAREST, n - WINDOW):
-            if at - begin < NEAREST:
-                continue
-            a, b, c, d = codes[at:at + WINDOW]
-            if (a ^ b * 3 ^ c * 5 ^ d * 7) * 0x9E3779B1 % (1 << 32) >> 8 & (RESIDUES - 1) == 0 or at - begin == FARTHEST:
-                yield " ".join(sequence[begin:at + WINDOW]), at - begin
+        code = np.fromiter(map(codes.__getitem__, sequence), np.uint32, n)
+        m = n - WINDOW  # windows that leave a token after them
+        mixed = code[:m] ^ code[1:m + 1] * np.uint32(3) ^ code[2:m + 2] * np.uint32(5) ^ code[3:m + 3] * np.uint32(7)
+        for at in np.flatnonzero(mixed * np.uint32(0x9E3779B1) >> np.uint32(8) & np.uint32(RESIDUES - 1) == 0).tolist():
+            while at - begin > FARTHEST:
+                yield begin, begin + FARTHEST + WINDOW, FARTHEST
+                begin += FARTHEST
+            if at - begin >= NEAREST:
+                yield begin, at + WINDOW, at - begin
                 begin = at
-    yield " ".join(sequence[begin:]), n - begin
+    while n - begin > FARTHEST + WINDOW:
+        yield begin, begin + FARTHEST + WINDOW, FARTHEST
+        begin += FARTHEST
+    if n:
+        yield begin, n, n - begin
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """The dictionary: ``lang`` (null: ``und``), ``chunk``, ``own`` and ``frequency``, one row per distinct chunk."""
+    """The dictionary, one row per distinct chunk: ``lang`` (null: ``und``), ``chunk`` (tokens joined by blanks),
+    ``own`` (tokens that begin phrases here), ``n_words`` among them, and ``frequency``."""
     def run(batches):
-        counts: dict[tuple[str, str, int], int] = {}
+        counts: dict[tuple[str, str, int, int], int] = {}
+        codes = _Codes()
 
         def flush():
-            langs, chunks, own = zip(*counts)
+            langs, chunks, own, n_words = zip(*counts)
             found = pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(chunks, pa.string()), pa.array(own, pa.int32()),
-                 pa.array(counts.values(), pa.int64())], names=["lang", "chunk", "own", "frequency"])
+                 pa.array(n_words, pa.int32()), pa.array(counts.values(), pa.int64())],
+                names=["lang", "chunk", "own", "n_words", "frequency"])
             counts.clear()
             return found
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                for sequence in pieces(text.as_py()):
-                    for chunk, own in parse(sequence):
-                        key = (lang, chunk, own)
-                        counts[key] = counts.get(key, 0) + 1
+                sequence = tokens(text.as_py())
+                for begin, end, own in parse(sequence, codes):
+                    part = sequence[begin:end]
+                    key = (lang, " ".join(part), own, own - part[:own].count(BREAK))
+                    counts[key] = counts.get(key, 0) + 1
                 if len(counts) >= HELD:
                     yield flush()
         if counts:
             yield flush()
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    parsed = rows.mapInArrow(run, "lang string, chunk string, own int, frequency long")
-    return parsed.groupBy("lang", "chunk", "own").agg(F.sum("frequency").alias("frequency"))
+    parsed = rows.mapInArrow(run, _DICTIONARY)
+    return parsed.groupBy("lang", "chunk", "own", "n_words").agg(F.sum("frequency").alias("frequency"))
 
 
 def _word_codes(lang: str, found: Iterable[str]) -> np.ndarray:
@@ -116,63 +139,121 @@ def _roll(codes: np.ndarray, n: int) -> np.ndarray:
     return rolled
 
 
-def _count(n: int, bitmap: np.ndarray | None):
+class _Laid:
+    """Chunks of one language, token by token."""
+
+    def __init__(self, lang: str, chunks: list[str], own: np.ndarray, frequency: np.ndarray):
+        text = " ".join(chunks).split(" ")
+        known: dict[str, int] = dict(zip(dict.fromkeys(text), count()))
+        self.lang, self.names, self.own, self.frequency = lang, list(known), own, frequency
+        self.ids = np.fromiter(map(known.__getitem__, text), np.int64, len(text))
+        self.sizes = np.fromiter((c.count(" ") + 1 for c in chunks), np.int64, len(chunks))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.breaks = np.concatenate([[0], np.cumsum(self.ids == known.get(BREAK, -1))])
+
+    def places(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where a phrase of ``n`` words begins, and the chunk it is in."""
+        wide = np.clip(np.minimum(self.own, self.sizes - n + 1), 0, None)
+        chunk = np.repeat(np.arange(len(wide)), wide)
+        at = np.arange(len(chunk)) + np.repeat(self.starts - np.cumsum(wide) + wide, wide)
+        whole = self.breaks[at + n] == self.breaks[at]
+        return at[whole], chunk[whole]
+
+    def frequent(self, n: int, bitmap: np.ndarray) -> np.ndarray:
+        """Per place whether the bitmap has the ``n`` words that begin there; no phrase with a break is in it but by
+        chance."""
+        bit = _bit(_roll(_word_codes(self.lang, self.names)[self.ids], n))
+        return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+    def counted(self, n: int, at: np.ndarray, chunk: np.ndarray) -> pa.RecordBatch:
+        """The phrases at these places with the sum of their chunks' frequencies. Phrases are told apart by the numbers
+        of their words, not by hashes."""
+        weights = self.frequency[chunk]
+        if n == 1:
+            totals = np.zeros(len(self.names), np.int64)
+            np.add.at(totals, self.ids[at], weights)
+            first = np.flatnonzero(totals)
+            columns, totals = [first], totals[first]
+        else:
+            key, size = np.zeros(len(at), np.int64), 1
+            for k in range(n):
+                if size * len(self.names) >= 1 << 62:
+                    distinct, key = np.unique(key, return_inverse=True)
+                    size = len(distinct)
+                key, size = key * len(self.names) + self.ids[at + k], size * len(self.names)
+            order = np.argsort(key)
+            begins = np.flatnonzero(np.diff(key[order], prepend=-1))
+            totals = np.add.reduceat(weights[order], begins) if len(begins) else weights
+            columns = [self.ids[at[order[begins]] + k] for k in range(n)]
+        names = pa.array(self.names, pa.string())
+        phrases = pc.binary_join_element_wise(*[names.take(pa.array(c)) for c in columns], " ")
+        return pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(self.lang, pa.string()), len(totals)), phrases, pa.array(totals)],
+            names=["lang", "phrase", "f"])
+
+    def runs(self, n: int, bitmap: np.ndarray) -> pa.RecordBatch:
+        """What is left of the chunks for phrases of more than ``n`` words: stretches in which every phrase of ``n``
+        words is frequent."""
+        good = np.zeros(len(self.ids) + 1, bool)
+        here = self.frequent(n, bitmap)
+        good[:len(here)] = here & (self.breaks[n:] == self.breaks[:len(here)])
+        # A phrase may reach into the closing window, but not beyond its chunk.
+        ends = self.starts + self.sizes
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        good[:-1] &= np.arange(len(self.ids)) + n <= ends[owner]
+        begin = np.flatnonzero(good & ~np.concatenate([[False], good[:-1]]))
+        # Where the last frequent phrase of a chunk meets the first of the next, the stretch is cut.
+        cut = np.flatnonzero(good[:-1] & np.concatenate([[False], good[:-2]]) & np.isin(
+            np.arange(len(self.ids)), self.starts))
+        begin = np.sort(np.concatenate([begin, cut]))
+        bad = np.flatnonzero(~good)
+        end = bad[np.searchsorted(bad, begin)]
+        end = np.minimum(end, ends[owner[begin]])
+        inside = owner[begin]
+        own = np.minimum(self.own[inside] + self.starts[inside], end) - begin
+        keep = (end - begin > 1) & (own > 0)
+        begin, end, own, inside = begin[keep], end[keep] + n - 1, own[keep], inside[keep]
+        names, ids = self.names, self.ids
+        texts = [" ".join([names[i] for i in ids[b:e].tolist()]) for b, e in zip(begin.tolist(), end.tolist())]
+        return pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(self.lang, pa.string()), len(texts)), pa.array(texts, pa.string()),
+             pa.array(own.astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(self.frequency[inside])],
+            names=["lang", "chunk", "own", "n_words", "frequency"])
+
+
+def _laid_out(batches: Iterable[pa.RecordBatch]) -> Iterator[_Laid]:
+    """The chunks of a task, some million characters of one language at a time."""
+    held: dict[str, list[pa.RecordBatch]] = {}
+    waiting: dict[str, int] = {}
+
+    def give(lang: str) -> _Laid:
+        table = pa.Table.from_batches(held.pop(lang))
+        waiting.pop(lang)
+        return _Laid(lang, table["chunk"].to_pylist(), table["own"].to_numpy().astype(np.int64),
+                     table["frequency"].to_numpy())
+
+    for batch in batches:
+        langs = batch.column("lang")
+        for lang in langs.unique().to_pylist():
+            part = batch.filter(pc.equal(langs, lang))
+            held.setdefault(lang, []).append(part)
+            waiting[lang] = waiting.get(lang, 0) + (pc.sum(pc.binary_length(part.column("chunk"))).as_py() or 0)
+            if waiting[lang] >= AT_ONCE:
+                yield give(lang)
+    for lang in list(held):
+        yield give(lang)
+
+
+def _counts(n: int, bitmap: np.ndarray | None, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases of ``n`` words in batches of chunks, with their weighted counts."""
-    def tally(lang: str, sequences: list[list[str]], own: list[int], frequency: list[int]):
-        known: dict[str, int] = dict(zip(dict.fromkeys(w for s in sequences for w in s), count()))
-        names = list(known)
-        ids = np.fromiter((known[w] for s in sequences for w in s), np.int64)
-        sizes = np.array([len(s) for s in sequences])
-        ends = np.cumsum(sizes)
-        last = np.minimum(np.array(own), sizes - n + 1)  # so many places of each chunk begin a phrase
-        chunk = np.repeat(np.arange(len(sizes)), np.maximum(last, 0))
-        within = np.arange(len(chunk)) - np.repeat(np.cumsum(np.maximum(last, 0)) - np.maximum(last, 0),
-                                                   np.maximum(last, 0))
-        at = (ends - sizes)[chunk] + within
+    for laid in _laid_out(batches):
+        at, chunk = laid.places(n)
         if bitmap is not None and len(at):
-            rolled = _bit(_roll(_word_codes(lang, names)[ids], n - 1))
-            frequent = (bitmap[rolled >> 3] >> (rolled & 7).astype(np.uint8) & 1).astype(bool)
+            frequent = laid.frequent(n - 1, bitmap)
             keep = frequent[at] & frequent[at + 1]
             at, chunk = at[keep], chunk[keep]
-        weights = np.array(frequency, np.int64)[chunk]
-        # Numbers of equal phrases, built word by word; exact, unlike a hash.
-        group = np.zeros(len(at), np.int64)
-        first = group
-        for k in range(n):
-            _, first, group = np.unique(group * len(names) + ids[at + k], return_index=True, return_inverse=True)
-        order = np.argsort(group, kind="stable")
-        starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-        totals = np.add.reduceat(weights[order], starts) if len(starts) else weights
-        words_at = ids[at[first][:, None] + np.arange(n)].tolist() if len(at) else []
-        return [" ".join([names[i] for i in row]) for row in words_at], totals
-
-    def run(batches):
-        held: dict[str, tuple[list, list, list]] = {}
-        waiting = 0
-
-        def flush():
-            for lang, (sequences, own, frequency) in held.items():
-                phrases, totals = tally(lang, sequences, own, frequency)
-                if phrases:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                         pa.array(totals, pa.int64())], names=["lang", "phrase", "f"])
-            held.clear()
-
-        for batch in batches:
-            for lang, chunk, own, frequency in zip(*(batch.column(c).to_pylist()
-                                                     for c in ("lang", "chunk", "own", "frequency"))):
-                sequence = chunk.split(" ")
-                lists = held.setdefault(lang, ([], [], []))
-                lists[0].append(sequence)
-                lists[1].append(own)
-                lists[2].append(frequency)
-                waiting += len(sequence)
-                if waiting >= AT_ONCE:
-                    yield from flush()
-                    waiting = 0
-        yield from flush()
-    return run
+        if len(at):
+            yield laid.counted(n, at, chunk)
 
 
 def _bitmap(frequent: DataFrame) -> np.ndarray:
@@ -202,24 +283,27 @@ def _bitmap(frequent: DataFrame) -> np.ndarray:
 
 def frequent_phrases(dictionary: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words that occur ``least`` times in a language, with ``size`` (words) and ``f``;
-    and per language ``n``, the number of all word occurrences. ``dictionary`` is stored, as each length reads it."""
+    and per language ``n``, the number of all word occurrences. ``dictionary`` is stored, as several lengths read it."""
     context = dictionary.sparkSession.sparkContext
-    totals = stored(dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("frequency")).alias("n")))
+    totals = stored(dictionary.groupBy("lang").agg(F.sum(F.col("n_words") * F.col("frequency")).alias("n")))
     found: list[DataFrame] = []
-    bitmap = None
+    shared = None
     for n in range(1, longest + 1):
-        shared = None if bitmap is None else context.broadcast(bitmap)
+        if n > 2:
+            # What is left is little, so the longer lengths do not read the whole dictionary again.
+            def narrow(batches, n=n, shared=shared):
+                for laid in _laid_out(batches):
+                    yield laid.runs(n - 1, shared.value)
+            dictionary = stored(dictionary.mapInArrow(narrow, _DICTIONARY))
 
-        def run(batches, n=n, shared=shared):
-            return _count(n, None if shared is None else shared.value)(batches)
+        def tally(batches, n=n, shared=shared if n == 2 else None):
+            return _counts(n, None if shared is None else shared.value, batches)
 
-        counted = dictionary.mapInArrow(run, _COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        counted = dictionary.mapInArrow(tally, _COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
         level = stored(counted.filter(F.col("f") >= least).withColumn("size", F.lit(n)))
         found.append(level)
         if n < longest:
-            bitmap = _bitmap(level)
-        if shared is not None:
-            shared.destroy()
+            shared = context.broadcast(_bitmap(level))
     phrases = found[0]
     for level in found[1:]:
         phrases = phrases.unionByName(level)

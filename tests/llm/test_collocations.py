@@ -60,40 +60,77 @@ def plain_collocations(rows, least, top):
     return sorted(result)
 
 
+def chunks_of(sequence):
+    return [(sequence[begin:end], own) for begin, end, own in C.parse(sequence, C._Codes())]
+
+
 def test_each_phrase_begins_in_one_chunk():
     rng = random.Random(2)
-    for _ in range(60):
-        sequence = [f"w{rng.randrange(20)}" for _ in range(rng.randrange(1, 1_500))]
+    for _ in range(80):
+        sequence = [f"w{rng.randrange(20)}" for _ in range(rng.randrange(0, 1_500))]
         if rng.random() < 0.3:
-            sequence = ["same"] * len(sequence)
-        chunks = [(c.split(" "), own) for c, own in C.parse(sequence)]
+            sequence = ["same"] * (2 * len(sequence))
+        chunks = chunks_of(sequence)
         assert [w for words, own in chunks for w in words[:own]] == sequence
         for k, (words, own) in enumerate(chunks):
             last = k == len(chunks) - 1
-            assert own == len(words) - (0 if last else C.WINDOW) and (last or C.NEAREST <= own <= C.FARTHEST)
+            assert own == len(words) - (0 if last else C.WINDOW)
+            assert own <= C.FARTHEST + (C.WINDOW if last else 0) and (last or own >= C.NEAREST)
             if not last:
                 assert words[own:] == chunks[k + 1][0][:C.WINDOW]
 
 
 def test_equal_passages_parse_alike():
     rng = random.Random(4)
-    passage = [f"w{rng.randrange(500)}" for _ in range(2_000)]
-    a = {c for c, _ in C.parse([f"x{rng.randrange(500)}" for _ in range(333)] + passage)}
-    b = {c for c, _ in C.parse([f"y{rng.randrange(500)}" for _ in range(77)] + passage)}
-    assert len(a & b) > 0.7 * len(list(C.parse(passage)))
+    passage = [f"w{rng.randrange(500)}" for _ in range(4_000)]
+    a = {" ".join(c) for c, _ in chunks_of([f"x{rng.randrange(500)}" for _ in range(333)] + passage)}
+    b = {" ".join(c) for c, _ in chunks_of([f"y{rng.randrange(500)}" for _ in range(77)] + passage)}
+    assert len(a & b) > 0.7 * len(chunks_of(passage))
+
+
+def test_tokens_are_the_words_of_the_pieces():
+    for text in ("", None, " . ,", "A b. C", ".a..b , c\x0b\x0cd  e!", "no break\there", "x\x1cy\xa0z É."):
+        assert [p.split(" ") for p in " ".join(C.tokens(text)).split(" \n ") if p] == plain_pieces(text)
 
 
-def test_bitmap_drops_only_what_it_may():
+def batch_of(rows):
+    return pa.RecordBatch.from_pydict({
+        "lang": ["en"] * len(rows), "chunk": [r[0] for r in rows], "own": pa.array([r[1] for r in rows], pa.int32()),
+        "n_words": pa.array([r[1] for r in rows], pa.int32()), "frequency": [r[2] for r in rows]})
+
+
+def listed(batches):
+    return sorted(row for b in batches for row in zip(*b.to_pydict().values()))
+
+
+def test_counts_with_and_without_a_bitmap():
     rng = random.Random(6)
-    rows = [("en", " ".join(f"w{rng.randrange(9)}" for _ in range(30))) for _ in range(40)]
-    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "chunk": [r[1] for r in rows],
-                                        "own": pa.array([30] * 40, pa.int32()), "frequency": [1] * 39 + [10**14]})
-    whole = C._count(3, None)(iter([batch]))
-    ones = C._count(3, np.full(C.BITS // 8, 255, np.uint8))(iter([batch]))
-    none = C._count(3, np.zeros(C.BITS // 8, np.uint8))(iter([batch]))
-    whole, ones = (sorted(zip(*next(b).to_pydict().values())) for b in (whole, ones))
-    assert whole == ones and list(none) == []
-    assert max(f for _, _, f in whole) >= 10**14 and sum(f for _, _, f in whole) == 28 * (10**14 + 39)
+    rows = [(" ".join(f"w{rng.randrange(9)}" for _ in range(30)), 30, 1) for _ in range(39)]
+    rows.append((" ".join(f"w{rng.randrange(9)}" for _ in range(30)), 30, 10**16 + 1))
+    whole = listed(C._counts(3, None, [batch_of(rows)]))
+    assert whole == listed(C._counts(3, np.full(C.BITS // 8, 255, np.uint8), [batch_of(rows)]))
+    assert listed(C._counts(3, np.zeros(C.BITS // 8, np.uint8), [batch_of(rows)])) == []
+    assert sum(f for _, _, f in whole) == 28 * (10**16 + 40)
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_stretches_keep_every_phrase_that_may_be_frequent(n):
+    """Longer phrases counted in the stretches equal those counted in the chunks, where all their parts are marked."""
+    rng = random.Random(n)
+    rows = []
+    for _ in range(60):
+        words = [rng.choice(["a", "b", "c", "d", "\n"]) for _ in range(rng.randrange(1, 25))]
+        rows.append((" ".join(words), rng.randrange(1, len(words) + 1), rng.randrange(1, 5)))
+    laid = next(C._laid_out([batch_of(rows)]))
+    marked = {p for _, p, _ in listed(C._counts(n, None, [batch_of(rows)])) if rng.random() < 0.6}
+    bits = C._bit(np.concatenate([C._roll(C._word_codes("en", p.split(" ")), n) for p in sorted(marked)]))
+    bitmap = np.zeros(C.BITS // 8, np.uint8)
+    np.bitwise_or.at(bitmap, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
+    stretches = [laid.runs(n, bitmap)]
+    for k in range(n + 1, 6):
+        expected = [(lang, p, f) for lang, p, f in listed(C._counts(k, None, [batch_of(rows)]))
+                    if all(" ".join(p.split(" ")[i:i + n]) in marked for i in range(k - n + 1))]
+        assert listed(C._counts(k, None, stretches)) == expected
 
 
 @pytest.mark.parametrize("least", [2, 9])
@@ -109,8 +146,8 @@ def test_equals_plain_python(spark, least):
 
 
 def test_products_beyond_64_bits(spark):
-    dictionary = spark.createDataFrame([("en", "alpha beta gamma", 3, 4 * 10**15), ("en", "alpha", 1, 10**15)],
-                                       "lang string, chunk string, own int, frequency long")
+    dictionary = spark.createDataFrame([("en", "alpha beta gamma", 3, 3, 4 * 10**15), ("en", "alpha", 1, 1, 10**15)],
+                                       "lang string, chunk string, own int, n_words int, frequency long")
     phrases, totals = C.frequent_phrases(dictionary)
     assert {(r.phrase, r.f) for r in phrases.collect()} == {
         ("alpha", 5 * 10**15), ("beta", 4 * 10**15), ("gamma", 4 * 10**15), ("alpha beta", 4 * 10**15),
