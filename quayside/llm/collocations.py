@@ -36,9 +36,10 @@ AT_ONCE = 4_000_000             # characters counted together
 HELD = 20_000                   # chunks that a task holds before it passes them on
 BREAK = "\n"                    # the token between pieces; no word, as line breaks end pieces
 
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_BREAKS, _TOKEN = re.compile(r"[\x20\x09.,;:!?\x0A-\x0D]*[.,;:!?\x0A-\x0D][\x20\x09.,;:!?\x0A-\x0D]*"), re.compile(
-    r"[^\x20\x09]+")
+# On UTF-8 bytes: A to Z are lowered, what ends a piece becomes a break, a tab a blank.
+_BYTES = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
+               for c in range(256))
+_BREAKS = re.compile(r"\n[\n ]+")
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _COUNTED = "lang string, phrase string, f long"
 _DICTIONARY = "lang string, chunk string, own int, n_words int, frequency long"
@@ -56,7 +57,8 @@ class _Codes(dict):
 
 def tokens(text: str | None) -> list[str]:
     """The words of a text, with A to Z in lower case, and one break between pieces that have words."""
-    found = _TOKEN.findall(_BREAKS.sub(f" {BREAK} ", (text or "").translate(_LOWER)))
+    mapped = (text or "").encode("utf-8", "surrogatepass").translate(_BYTES).decode("utf-8", "surrogatepass")
+    found = list(filter(None, _BREAKS.sub(BREAK, mapped).replace(BREAK, f" {BREAK} ").split(" ")))
     return found[found[:1] == [BREAK]:len(found) - (found[-1:] == [BREAK])]
 
 
@@ -213,10 +215,13 @@ class _Laid:
         own = np.minimum(self.own[inside] + self.starts[inside], end) - begin
         keep = (end - begin > 1) & (own > 0)
         begin, end, own, inside = begin[keep], end[keep] + n - 1, own[keep], inside[keep]
-        names, ids = self.names, self.ids
-        texts = [" ".join([names[i] for i in ids[b:e].tolist()]) for b, e in zip(begin.tolist(), end.tolist())]
+        size = end - begin
+        at = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        words = pa.array(self.names, pa.string()).take(pa.array(self.ids[at]))
+        texts = pc.binary_join(pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), words), " ")
         return pa.RecordBatch.from_arrays(
-            [pa.repeat(pa.scalar(self.lang, pa.string()), len(texts)), pa.array(texts, pa.string()),
+            [pa.repeat(pa.scalar(self.lang, pa.string()), len(texts)), texts,
              pa.array(own.astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(self.frequency[inside])],
             names=["lang", "chunk", "own", "n_words", "frequency"])
 
