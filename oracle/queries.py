@@ -174,7 +174,8 @@ _BODIES: dict[str, str] = {
         points, pct_change_30d FROM fx_ends""",
     "fx_volatility": _FX_ALL,
     "filter_high_fx": _FX_ALL + " WHERE currency_risk_tier IN ('HIGH', 'CRITICAL')",
-    "sorted_fx": _FX_VIEW + " ORDER BY currency_risk_score DESC, country",
+    "sorted_fx": """SELECT country, currency_code, pct_change_30d, daily_volatility_pct, currency_risk_score,
+        currency_risk_tier, fetched_at FROM fx_volatility ORDER BY currency_risk_score DESC, country""",
     "external_fx_view": _FX_VIEW + " ORDER BY currency_risk_score DESC, country",
     # demand and stock
     "demand_daily": """SELECT CAST(date AS DATE) AS date, sku, warehouse, CAST(sum(demand) AS BIGINT) AS demand

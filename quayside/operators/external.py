@@ -59,6 +59,7 @@ def weather_disruption_score(daily: DataFrame) -> DataFrame:
         "heavy_snow": F.col("snowfall_cm") >= HEAVY_SNOW_CM,
     }
     flagged = daily.withColumns({name: hit.cast("int") for name, hit in flags.items()})
+    # The points of the flags, and of rain and wind on a scale up to a limit.
     score = (
         F.col("heavy_rain") * 30 + F.col("strong_wind") * 25 + F.col("extreme_heat") * 20
         + F.col("extreme_cold") * 20 + F.col("heavy_snow") * 25

@@ -239,7 +239,7 @@ def filter_high_fx(w: Warehouse) -> DataFrame:
 
 @query
 def sorted_fx(w: Warehouse) -> DataFrame:
-    return settled(reports.external_fx_view(w.fx_volatility()), current_rate_vs_usd=6)
+    return reports.sorted_fx(w.fx_volatility())
 
 
 @query

@@ -1,4 +1,7 @@
-"""Monitoring reports over staged tables, marts and stored predictions."""
+"""Monitoring reports over staged tables, marts and stored predictions.
+
+Fixed values: the columns that each report shows, and their names.
+"""
 
 from __future__ import annotations
 
@@ -140,3 +143,11 @@ def sorted_weather(summary: DataFrame) -> DataFrame:
     return summary.select(
         "country", "city", "avg_disruption_score", "severe_days", "warning_days", "country_weather_risk",
     ).orderBy(F.desc("avg_disruption_score"), "country")
+
+
+def sorted_fx(volatility: DataFrame) -> DataFrame:
+    """The risk columns alone, with the date they were fetched."""
+    return volatility.select(
+        "country", "currency_code", "pct_change_30d", "daily_volatility_pct", "currency_risk_score",
+        "currency_risk_tier", "fetched_at",
+    ).orderBy(F.desc("currency_risk_score"), "country")

@@ -108,6 +108,7 @@ class Warehouse:
 
     def weather_documents(self) -> DataFrame:
         """The weather as landed: one document of parallel arrays per country, a few readings missing."""
+        # The names of the readings in a landed document.
         names = {
             "precipitation_mm": "precipitation_sum", "windspeed_kmh": "windspeed_10m_max",
             "temp_max_c": "temperature_2m_max", "temp_min_c": "temperature_2m_min",
