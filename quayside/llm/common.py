@@ -44,3 +44,11 @@ def stored(df: DataFrame) -> DataFrame:
 
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

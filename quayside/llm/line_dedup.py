@@ -1,26 +1,29 @@
 """Fuzzy line deduplication with DataFrame functions alone.
 
 A line's set holds its shingles of ``SHINGLE`` characters. Minima of permuted shingle hashes form a signature, bands of
-the signature are bucket keys, and lines that share a bucket are compared with the bucket's first and last line by the
-exact Jaccard similarity of their sets. Buckets that this leaves in several components are compared pair by pair.
-Components come from distributed union-find, and of each the first line, by document id and position, stays.
+the signature are bucket keys, and lines that share a bucket are candidates; the exact Jaccard similarity of their sets
+decides. Components come from distributed union-find, and of each the first line, by document id and position, stays.
+
+A bucket never meets itself. Its lines are compared with two pivots that a hash of line and bucket draws, so the buckets
+of a large group have different ones. For the lines of buckets that stay in several components the rest is settled by an
+exact filter: two sets with the similarity share one of their rarest shingles, so only lines of different components
+that do are compared.
 """
 
 from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import free_name, stored
 from quayside.llm.components import components
 
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 8, 4      # a pair at the threshold shares a bucket with probability 0.985, at 0.9 with 0.9998
 RUN = 16                # shingles that are hashed in one row
-BROADCAST_ROWS = 500_000    # at most so many line ids (of 8 bytes) are broadcast to the texts
 
 
 def _content(line: Column) -> Column:
@@ -95,37 +98,61 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _texts(cut: DataFrame, nodes: DataFrame) -> DataFrame:
     """The characters of one line per node, two bytes each, and the size of its shingle set."""
-    nodes = stored(nodes)
-    few = nodes.count() <= BROADCAST_ROWS
-    found = cut.select("node", "content").join(F.broadcast(nodes) if few else nodes, "node")
+    found = cut.select("node", "content").join(stored(nodes), "node")
     return stored(found.groupBy("node").agg(F.first("content").alias("content")).select(
         "node", _units(F.col("content")).alias("units")).withColumn("size", F.size(F.array_distinct(_tokens("units")))))
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _labelled(members: DataFrame, known: DataFrame) -> DataFrame:
+    """The members of the buckets that are in several components, with their components."""
+    labelled = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
+        "low <> high").select("key")
+    return labelled.join(mixed, "key")
+
+
+def _rare_partners(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of lines of different components (``nodes``: node, component) that share one of their rarest shingles.
+
+    Shingles are ordered by the number of the lines that have them. A set that is similar enough to another shares a
+    shingle among its first ones, all but the required overlap and one more. Where most lines with a shingle are of one
+    component, those of the others are joined to all, and never those of one component to each other.
+    """
+    shingles = stored(nodes.join(texts, "node").select(
+        "node", "component", "size", F.explode(F.array_distinct(_tokens("units"))).alias("token")))
+    spread = shingles.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+        F.sum("n").alias("lines"), F.count("*").alias("groups"), F.max_by("component", F.struct("n", "component")).alias("top"))
+    order = Window.partitionBy("node").orderBy("lines", "token")
+    first = shingles.join(spread, "token").withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1)
+    shared = stored(first.filter("groups > 1").select("token", "node", "component", "size", "top"))
+    other = shared.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("nb"))
+    met = shared.filter("component <> top").withColumnRenamed("node", "a").join(other, "token").filter(
+        "component <> other").filter(F.least("size", "nb") * 100 >= F.greatest("size", "nb") * PERCENT)
+    return _ordered(met.select("a", "b"))
+
+
 def line_components(cut: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the distinct lines that are similar to a different one."""
     keyed = buckets(stored(signatures(cut)))
-    spans = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
-    members = stored(keyed.join(spans, "key"))
-    pairs = stored(members.select("node", F.explode(F.array("first", "last")).alias("pivot")).filter(
-        "node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    drawn = F.xxhash64("node", "key")
+    pivots = keyed.groupBy("key").agg(F.min_by("node", drawn).alias("first"), F.max_by("node", drawn).alias("last")).filter(
+        "first <> last")
+    members = stored(keyed.join(pivots, "key"))
+    pairs = stored(_ordered(members.select(F.col("node").alias("a"), F.explode(F.array("first", "last")).alias("b")).filter(
+        "a <> b")))
     texts = _texts(cut, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     links = stored(_similar(pairs, texts))
     known = stored(components(links))
-
-    # What the pivots left apart: every other pair of different components in a bucket.
-    labelled = members.select("key", "node").join(known, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    mixed = stored(labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
-        "low <> high AND n > 2").select("key"))
-    if mixed.isEmpty():
+    apart = stored(_labelled(members.select("key", "node"), known).select("node", "component").distinct())
+    if apart.isEmpty():
         return known
-    left = stored(labelled.join(mixed, "key"))
-    other = left.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    rest = left.withColumnRenamed("node", "a").join(other, "key").filter("a < b AND component <> other").select(
-        "a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    return stored(components(links.unionByName(_similar(rest, texts))))
+    more = _similar(stored(_rare_partners(apart, texts)), texts)
+    return stored(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
 
 
 def line_decisions(docs: DataFrame) -> DataFrame:
@@ -169,13 +196,13 @@ def line_report(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents, all columns kept, without the dropped lines. A document that had lines with content and loses all
     of them goes; others stay, also null and blank ones. ``n_chars``, where present, follows the text."""
-    marks = _dropped(docs).filter(F.size("dropped") > 0).select(
-        F.col("row").alias("__row"), F.col("dropped").alias("__dropped"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id()).join(marks, "__row", "left")
+    row, gone = free_name(docs, "row"), free_name(docs, "dropped")
+    marks = _dropped(docs).filter(F.size("dropped") > 0).select(F.col("row").alias(row), F.col("dropped").alias(gone))
+    numbered = docs.withColumn(row, F.monotonically_increasing_id()).join(marks, row, "left")
     kept = F.array_join(F.filter(
-        F.split("text", "\n"), lambda line, k: ~F.array_contains(F.col("__dropped"), k)), "\n")
-    out = numbered.withColumn("text", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept))
-    out = out.filter(F.col("__dropped").isNull() | (F.length(F.trim(F.translate("text", "\n", " "))) > 0))
+        F.split("text", "\n"), lambda line, k: ~F.array_contains(F.col(gone), k)), "\n")
+    out = numbered.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept))
+    out = out.filter(F.col(gone).isNull() | (F.length(F.trim(F.translate("text", "\n", " "))) > 0))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)
