@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import remainder
+from quayside.llm.sampling import labelled_texts
 
 CHUNK, STEP = 256, 224          # bytes of a chunk, bytes from one chunk to the next
 WIDTH, STRIDE = 8, 2            # bytes under a filter, bytes from one position to the next
 EMBEDDING, FILTERS, HIDDEN = 8, 32, 24
-PER_CLASS, CHUNKS = 2_500, 4    # the fit uses at most so many documents of either label and chunks of each
+PER_CLASS = 2_500               # the fit uses at most so many different texts of either label, each whole
 STEPS, BATCH, RATE = 700, 48, 4e-3
 THRESHOLD, FOLDS = 0.3, 5
 
@@ -143,36 +144,21 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, prior: float, seed: int =
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ByteNet | None:
     """Learn from labelled documents outside the held-out fold; None without both labels.
 
-    The bound: at most ``per_class`` documents of either label, those with the smallest hash, and ``CHUNKS`` chunks of
-    each from anywhere in its text. The share of the labels is counted over all labelled rows.
+    The bound: of either label at most ``per_class`` different texts, drawn by ``sampling.labelled_texts``, with all of
+    their chunks. Copies of a text count once, so they move neither the sample nor the share of the labels.
     """
-    marks = labels.select("doc_id", "quality").filter("quality IN (0, 1)").filter(remainder(F.col("doc_id"), FOLDS) != 0)
-    counts = {r.quality: r.n for r in marks.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
+    counts, sample = labelled_texts(docs, labels, "quality", remainder(F.col("doc_id"), FOLDS) != 0, per_class)
+    if sample is None:
         return None
-    # The sample is drawn from the narrow labels; at most 2 * per_class of them meet the texts.
-    h = F.xxhash64("doc_id").alias("h")
-    drawn = [marks.filter(F.col("quality") == q).select("doc_id", "quality", h).orderBy("h", "doc_id").limit(per_class)
-             for q in (0, 1)]
 
     def cut(frames):
         for frame in frames:
-            kept = []
-            for h, text in zip(frame["h"], frame["text"]):
-                data = chunks(text)
-                rng = np.random.default_rng(h & (2**63 - 1))
-                kept.append(data[np.sort(rng.permutation(len(data))[:CHUNKS])].tobytes())
-            yield pd.DataFrame({"h": frame["h"], "quality": frame["quality"], "data": kept})
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
-    sample = sorted(rows.select("h", "quality", "text").mapInPandas(
-        cut, "h long, quality int, data binary").orderBy("h", "data").limit(2 * per_class).collect(),
-        key=lambda r: (r.h, r.quality, r.data))
-    if len({r.quality for r in sample}) < 2:
-        return None
-    y = np.array([r.quality for r in sample], float)
-    prior = float(np.log(counts[1] / counts[0]))
-    return fit([np.frombuffer(r.data, np.uint8).reshape(-1, CHUNK) for r in sample], y, prior)
+            yield pd.DataFrame({"content": frame["content"], "label": frame["label"],
+                                "data": [chunks(text).tobytes() for text in frame["text"]]})
+
+    taken = sorted(sample.mapInPandas(cut, "content string, label int, data binary").collect(), key=lambda r: r.content)
+    return fit([np.frombuffer(r.data, np.uint8).reshape(-1, CHUNK) for r in taken],
+               np.array([r.label for r in taken], float), float(np.log(counts[1] / counts[0])))
 
 
 def _score(net: ByteNet | None):
@@ -197,6 +183,7 @@ def classify(docs: DataFrame, labels: DataFrame, net: ByteNet | None = None) ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, net: ByteNet | None = None) -> DataFrame:
-    """The documents that the classifier does not reject, with their columns."""
+    """The documents that the classifier does not reject, with their columns. Null and empty texts are judged as empty
+    ones, repeated rows alike; an empty table, or one without both labels, is returned as it is."""
     net = net or train(docs, labels)
     return docs.filter(_score(net)("text") >= THRESHOLD)
