@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored, words
+from quayside.llm.common import free_name, stored, words
 from quayside.llm.components import components
 from quayside.llm.signature_trees import linking_edges
 
@@ -220,7 +220,7 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     # Null ids come last.
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number")
     best = grouped.groupBy("group").agg(F.min(place).alias("best"))
-    kept = best.select(F.col("best.number").alias("__number")).unionByName(
-        sets.filter("fp IS NULL").select(F.col("number").alias("__number")))
-    return docs.withColumn("__number", F.monotonically_increasing_id()).join(kept, "__number", "left_semi").select(
-        *docs.columns)
+    name = free_name(docs, "number")
+    kept = best.select(F.col("best.number").alias(name)).unionByName(
+        sets.filter("fp IS NULL").select(F.col("number").alias(name)))
+    return docs.withColumn(name, F.monotonically_increasing_id()).join(kept, name, "left_semi").select(*docs.columns)
