@@ -27,8 +27,20 @@ ANOMALY_COLUMNS = (
     "freight_cost_usd", "cost_per_unit", "delay_ratio", "status", "is_disrupted", "is_anomaly", "anomaly_score",
     "anomaly_severity", "severity_tier", "anomaly_reasons",
 )
+# What the scores, the reasons and the anomaly table read.
+SCORED_COLUMNS = (
+    "shipment_id", "supplier_id", "sku", "origin_country", "destination_warehouse", "quantity_shipped", "delay_days",
+    "freight_cost_usd", "carrier", "is_disrupted", "status", "reliability_score", "supplier_lead_time",
+    "supplier_risk_level", "cost_per_unit", "delay_ratio",
+)
 _NODE_SCHEMA = "tree int, node int, feature int, threshold double, child int, length double"
-_CHUNK = 10_000
+_CHUNK = 5_000
+# Parts of a node's word.
+_FIELD_BITS = 20
+_FIELD = (1 << _FIELD_BITS) - 1
+# Rows up to which they are dealt out anew. More come in enough partitions, and dealing them would cost an exchange and
+# a sort of the whole table.
+DEALT_ROWS = 2_000_000
 
 
 def expected_path(n: float) -> float:
@@ -60,7 +72,7 @@ def draw_samples(numbered: DataFrame, rows: int, trees: int, sample: int, seed:
     drawn = numbered.withColumn("_unit", unit).filter(F.col("_unit") >= below[0]) if share < 1 else \
         numbered.withColumn("_unit", F.lit(1.0))
     many = F.size(F.filter(F.array(*map(F.lit, below)), lambda c: c <= F.col("_unit")))
-    ordered = F.array_sort(F.transform(
+    ordered = F.sort_array(F.transform(
         F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.struct(F.xxhash64(F.col("row_number"), t, F.lit(seed + 1)).alias("h"), t.alias("tree"))))
     drawn = drawn.withColumn("tree", F.explode(F.slice(ordered, 1, many)["tree"])).drop("_unit")
@@ -125,30 +137,60 @@ def pack_forest(nodes: Iterable) -> dict[str, np.ndarray]:
     return packed
 
 
+def _node_words(forest: dict[str, np.ndarray], features: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The thresholds of each feature in order, and one word per node: its child, then the complement of its threshold's
+    place among them. A value exceeds the threshold if more thresholds than its place tells lie below the value, so
+    adding that number carries into the child just then, which gives the right one of the two."""
+    inner = np.isfinite(forest["threshold"])
+    known = [np.unique(forest["threshold"][inner & (forest["feature"] == f)]) for f in range(features)]
+    if max(map(len, known)) > _FIELD:
+        raise ValueError("too many thresholds of a feature")
+    place = np.full(inner.shape, _FIELD, dtype=np.int64)  # a leaf sends no row to the right
+    for f, values in enumerate(known):
+        here = inner & (forest["feature"] == f)
+        place[here] = np.searchsorted(values, forest["threshold"][here])
+    return known, (forest["child"] << 2 * _FIELD_BITS) | (_FIELD - place) << _FIELD_BITS
+
+
 def isolation_scores(x: np.ndarray, forest: dict[str, np.ndarray], sample: int) -> np.ndarray:
     """Negated anomaly score per row, in [-1, 0): the shorter the paths, the lower."""
     trees = len(forest["feature"])
     levels = ceil(log2(max(sample, 2)))
+    known, words = _node_words(forest, x.shape[1])
     scores = np.empty(len(x))
     for begin in range(0, len(x), _CHUNK):
         rows = x[begin:begin + _CHUNK]
-        by_column, row = rows.ravel(order="F"), np.arange(len(rows))
-        depth = np.zeros(len(rows))
+        n = len(rows)
+        below = np.empty((len(known), n), dtype=np.int64)
+        for f, values in enumerate(known):
+            below[f] = np.where(np.isnan(rows[:, f]), 0, np.searchsorted(values, rows[:, f]))
+        below = (below << _FIELD_BITS).ravel()
+        # The lowest part of a word tells where the values of the node's feature begin. The steps share their arrays, and
+        # clipping spares the check of indexes that are never out of bounds.
+        nodes, row, depth, length = words | forest["feature"] * n, np.arange(n), np.zeros(n), np.empty(n)
+        at, node, place, value = (np.empty(n, dtype=np.int64) for _ in range(4))
         for t in range(trees):
-            feature, threshold = forest["feature"][t] * len(rows), forest["threshold"][t]
-            child, at = forest["child"][t], np.zeros(len(rows), dtype=np.int64)
+            at[:] = 0
             for _ in range(levels):
-                at = child[at] + (by_column[feature[at] + row] > threshold[at])
-            depth += forest["length"][t][at]
+                np.take(nodes[t], at, out=node, mode="clip")
+                np.bitwise_and(node, _FIELD, out=place)
+                np.add(place, row, out=place)
+                np.take(below, place, out=value, mode="clip")
+                np.add(node, value, out=node)
+                np.right_shift(node, 2 * _FIELD_BITS, out=at)
+            np.take(forest["length"][t], at, out=length, mode="clip")
+            depth += length
         scores[begin:begin + _CHUNK] = -np.power(2.0, -(depth / trees) / max(expected_path(sample), 1e-12))
     return scores
 
 
-def number_rows(df: DataFrame) -> DataFrame:
+def number_rows(df: DataFrame, deal: bool = True) -> DataFrame:
     """Write the rows once, each with a number. Sampling, scoring and encoding read them in separate passes,
-    and a number stays with its row only while nothing recomputes it."""
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism * 2)
-    return cut_lineage(spread.withColumn("row_number", F.monotonically_increasing_id()))
+    and a number stays with its row only while nothing recomputes it. A small table is dealt out first, since it may
+    come in a single partition."""
+    if deal:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism * 2)
+    return cut_lineage(df.withColumn("row_number", F.monotonically_increasing_id()))
 
 
 def isolation_forest(numbered: DataFrame, code: Callable[[DataFrame], DataFrame] = lambda rows: rows,
@@ -203,10 +245,13 @@ def anomaly_reasons(severe: DataFrame, thresholds: dict[str, float | None]) -> D
         "anomaly_reasons", F.when(F.col("is_anomaly"), reason_flags(thresholds)).otherwise("NORMAL"))
 
 
-def shipment_anomalies(enriched: DataFrame) -> DataFrame:
-    """The stored anomaly table. The joins behind the enriched shipments run once, the codes are joined once."""
-    numbered = number_rows(shipment_ratios(enriched))
-    books = shipment_dictionaries(numbered)
+def shipment_anomalies(enriched: DataFrame, rows: int) -> DataFrame:
+    """The anomaly table of about so many rows, on stored scores. The joins behind the enriched shipments run once, the
+    codes are joined once."""
+    ratios = shipment_ratios(enriched)
+    deal = rows <= DEALT_ROWS
+    numbered = number_rows(ratios if deal else ratios.select(*SCORED_COLUMNS), deal)
+    books = shipment_dictionaries(numbered, stored=True)
     flagged = isolation_forest(numbered, lambda rows: shipment_codes(rows, books))
     return anomaly_reasons(anomaly_severity(flagged), reason_thresholds(flagged)).select(*ANOMALY_COLUMNS)
 

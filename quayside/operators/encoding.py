@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Window
@@ -12,8 +13,12 @@ from pyspark.sql import functions as F
 from quayside.session import checkpoint_dir, cut_lineage
 
 
-def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(field, value) pairs that occur, for all columns in one pass; duplicates go map-side."""
+def distinct_values(df: DataFrame, columns: list[str], stored: bool = False) -> DataFrame:
+    """(field, value) pairs that occur; duplicates go map-side. All columns come from one pass, unless ``df`` is stored:
+    then each is read alone, which costs less than a row per value."""
+    if stored:
+        fields = [df.select(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns]
+        return reduce(DataFrame.unionAll, fields).filter(F.col("value").isNotNull()).distinct()
     pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns])
     return (
         df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
@@ -44,14 +49,14 @@ class Dictionary:
     size: int
 
 
-def dictionaries(df: DataFrame, columns: Sequence[str]) -> dict[str, Dictionary]:
-    """The dictionary of every column, from one pass over ``df``.
+def dictionaries(df: DataFrame, columns: Sequence[str], stored: bool = False) -> dict[str, Dictionary]:
+    """The dictionary of every column, from one pass over ``df``, or one over each column of a stored table.
 
     They are stored, each in a folder of its own. So the optimizer knows the size of each when it picks a join: those
     below its broadcast limit cost the encoded rows no exchange, however large another one is.
     """
     spark = df.sparkSession
-    codes, sizes = rank_values(distinct_values(df, list(columns)))
+    codes, sizes = rank_values(distinct_values(df, list(columns), stored))
     path = f"{checkpoint_dir(spark)}/stored-{uuid4().hex}"
     codes.write.partitionBy("field").parquet(path)
     found = {}

@@ -70,8 +70,8 @@ SHIPMENT_CODES = {
 }
 
 
-def shipment_dictionaries(ratios: DataFrame) -> dict[str, Dictionary]:
-    return dictionaries(ratios, list(SHIPMENT_CODES))
+def shipment_dictionaries(ratios: DataFrame, stored: bool = False) -> dict[str, Dictionary]:
+    return dictionaries(ratios, list(SHIPMENT_CODES), stored)
 
 
 def shipment_codes(ratios: DataFrame, books: dict[str, Dictionary] | None = None) -> DataFrame:

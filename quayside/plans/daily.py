@@ -110,8 +110,9 @@ def predict_demand(spark: SparkSession) -> None:
 
 
 def predict_anomalies(spark: SparkSession) -> None:
-    enriched = shipments.shipment_supplier_enrich(spark.table("stg_shipments"), spark.table("stg_suppliers"))
-    full_refresh(anomalies.shipment_anomalies(enriched), PREDICTIONS, "shipment_anomalies")
+    staged = spark.table("stg_shipments")
+    enriched = shipments.shipment_supplier_enrich(staged, spark.table("stg_suppliers"))
+    full_refresh(anomalies.shipment_anomalies(enriched, staged.count()), PREDICTIONS, "shipment_anomalies")
 
 
 def check(spark: SparkSession) -> DataFrame:

@@ -263,9 +263,8 @@ class Warehouse:
         return explain.shap_explanations(linear_risk.explain(self.linear_model(), self.supplier_matrix()))
 
     def shipment_anomalies(self) -> DataFrame:
-        return self._once("shipment_anomalies", lambda: cut_lineage(
-            anomalies.shipment_anomalies(self.enriched_shipments())))
+        return self._once("shipment_anomalies", lambda: anomalies.shipment_anomalies(
+            self.enriched_shipments(), self.raw.table("lineitem").count()))
 
     def robust_anomalies(self) -> DataFrame:
-        return self._once("robust_anomalies", lambda: cut_lineage(
-            robust_anomalies.shipment_anomalies(self.enriched_shipments())))
+        return self._once("robust_anomalies", lambda: robust_anomalies.shipment_anomalies(self.enriched_shipments()))

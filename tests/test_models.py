@@ -155,3 +155,72 @@ def test_one_sampling_law_at_every_size(spark):
         assert len(per_tree) == trees and max(per_tree) <= sample
         assert sum(per_tree) >= 0.9 * trees * min(sample, rows)
         assert drawn.groupBy("tree", "row_number").count().filter(F.col("count") > 1).isEmpty()
+
+
+def walked(row, forest, tree):
+    at = 0
+    while forest["child"][tree, at] != at:
+        right = row[forest["feature"][tree, at]] > forest["threshold"][tree, at]
+        at = forest["child"][tree, at] + right
+    return forest["length"][tree, at]
+
+
+def test_scores_equal_a_walk_through_every_tree():
+    """Values at, beside and beyond the thresholds, and none at all; more rows than a chunk."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=5_100), rng.integers(0, 4, 5_100), np.full(5_100, 2.0)])
+    x[0, 0], x[1, 0], x[2, 0] = np.nan, np.inf, -np.inf
+    nodes = [dict(zip(("node", "feature", "threshold", "child", "length"), n), tree=t) for t in range(7)
+             for n in anomalies._grow_tree(x[100 * t + 3:100 * t + 67], 6, np.random.default_rng(t))]
+    forest = anomalies.pack_forest(nodes)
+    x[3:3 + len(nodes), 0] = [n["threshold"] for n in nodes]
+    scores = anomalies.isolation_scores(x, forest, 64)
+    for i in [*range(0, 300), 5_099]:
+        depth = sum(walked(x[i], forest, t) for t in range(7)) / 7
+        assert scores[i] == pytest.approx(-2 ** (-depth / anomalies.expected_path(64)), abs=1e-12)
+
+
+def test_a_large_table_is_not_dealt_out_and_no_table_is_written_twice(spark, warehouse, monkeypatch):
+    """Above the limit the numbered rows come without an exchange by round robin, and keep only what the job reads; the
+    writes of whole rows are the numbered ones and the scored ones."""
+    from quayside.operators import robust_anomalies
+
+    written = []
+
+    def noting(df):
+        written.append((df._jdf.queryExecution().toString(), df.columns))
+        return session_cut(df)
+
+    from quayside.session import cut_lineage as session_cut
+
+    for module in (anomalies, robust_anomalies):
+        monkeypatch.setattr(module, "cut_lineage", noting)
+    enriched = warehouse.enriched_shipments()
+    found = anomalies.shipment_anomalies(enriched, anomalies.DEALT_ROWS + 1)
+    assert found.columns == list(anomalies.ANOMALY_COLUMNS) and found.count() == enriched.count()
+    assert len(written) == 2 and not any("RoundRobin" in plan for plan, _ in written)
+    assert all("annual_spend_usd" not in columns for _, columns in written)
+    written.clear()
+    anomalies.shipment_anomalies(enriched, 6_000)
+    assert "RoundRobin" in written[0][0]
+    written.clear()
+    robust_anomalies.shipment_anomalies(enriched)
+    assert len(written) == 1 and "annual_spend_usd" not in written[0][1]
+
+
+def test_counting_passes_make_no_row_per_value(spark, monkeypatch):
+    """Neither the bracket counts nor the dictionaries of a stored table go through a generator, which runs uncompiled."""
+    from quayside.operators import encoding, order_statistics
+
+    plans = []
+    kind = type(spark.range(1))
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or collect(df))
+    df = spark.range(5_000).select((F.col("id") % 997).alias("a"), (F.col("id") * 0.5).alias("b"))
+    found = order_statistics.exact_quantiles(df, {"a": (F.col("a"), 0.5), "b": (F.col("b"), 0.5)})
+    assert found == {"a": 496.5, "b": 1249.75}
+    assert plans and not any("Generate" in plan for plan in plans)
+    texts = spark.createDataFrame([("x", None), ("x", "u"), (None, "v")], "p string, q string")
+    values = encoding.distinct_values(texts, ["p", "q"], stored=True)
+    assert "Generate" not in values._jdf.queryExecution().toString()
+    assert sorted(map(tuple, values.collect())) == [("p", "x"), ("q", "u"), ("q", "v")]
