@@ -73,32 +73,50 @@ def base_value(leaves: dict[str, np.ndarray]) -> float:
     return float((leaves["value"] * leaves["share"].prod(axis=1)).sum())
 
 
-def shapley_values(x: np.ndarray, leaves: dict[str, np.ndarray]) -> np.ndarray:
-    """Attribution of each input (columns) for each row of ``x``, in log-odds."""
+def leaf_effects(leaves: dict[str, np.ndarray]) -> np.ndarray:
+    """What each input on the path of a leaf adds, by (input, outcome, leaf). An outcome tells by bits which of the
+    inputs a row passes, so there are few, and a row needs no sum over subsets of its own."""
     depth = leaves["feature"].shape[1]
-    slot_input = np.where(leaves["feature"] < 0, 0, leaves["feature"])
     used = leaves["feature"] >= 0
     size = used.sum(axis=1)
     share = leaves["share"]
     coefficients = np.array([[
         factorial(s) * factorial(m - s - 1) / factorial(m) if s < m else 0.0 for s in range(depth)]
         for m in range(depth + 1)])
+    outcomes = np.arange(1 << depth)[:, None, None] >> np.arange(depth) & 1
+    passes = (outcomes.astype(bool) | ~used).astype(float)
+    effects = np.empty((depth, *passes.shape[:2]))
+    for j in range(depth):
+        others = [k for k in range(depth) if k != j]
+        weight = np.zeros(passes.shape[:2])
+        for known_size in range(depth):
+            # Unused slots are neutral factors, so subsets are taken over the used ones only.
+            for known in combinations(others, known_size):
+                valid = used[:, j] & used[:, list(known)].all(axis=1)
+                coefficient = np.where(valid, coefficients[size, known_size], 0.0)
+                unknown = [k for k in others if k not in known]
+                term = passes[:, :, list(known)].prod(axis=2) * share[:, unknown].prod(axis=1)
+                weight += coefficient * term
+        effects[j] = leaves["value"] * (passes[:, :, j] - share[:, j]) * weight
+    return effects
+
+
+def shapley_values(x: np.ndarray, leaves: dict[str, np.ndarray], effects: np.ndarray | None = None) -> np.ndarray:
+    """Attribution of each input (columns) for each row of ``x``, in log-odds."""
+    count, depth = leaves["feature"].shape
+    slot_input = np.where(leaves["feature"] < 0, 0, leaves["feature"])
+    used = leaves["feature"] >= 0
+    effects = leaf_effects(leaves) if effects is None else effects
     result = np.zeros((len(x), x.shape[1]))
     for begin in range(0, len(x), _CHUNK):
-        rows = x[begin:begin + _CHUNK][:, slot_input]
-        passes = ((rows > leaves["low"]) & (rows <= leaves["high"]) | ~used).astype(float)
+        rows = x[begin:begin + _CHUNK]
+        at = np.zeros((len(rows), count), dtype=np.int64)
+        for j in range(depth):
+            value = rows[:, slot_input[:, j]]
+            at += ((value > leaves["low"][:, j]) & (value <= leaves["high"][:, j]) | ~used[:, j]).astype(np.int64) << j
+        at = at * count + np.arange(count)
         for j in range(depth):
-            others = [k for k in range(depth) if k != j]
-            weight = np.zeros(passes.shape[:2])
-            for known_size in range(depth):
-                # Unused slots are neutral factors, so subsets are taken over the used ones only.
-                for known in combinations(others, known_size):
-                    valid = used[:, j] & used[:, list(known)].all(axis=1)
-                    coefficient = np.where(valid, coefficients[size, known_size], 0.0)
-                    unknown = [k for k in others if k not in known]
-                    term = passes[:, :, list(known)].prod(axis=2) * share[:, unknown].prod(axis=1)
-                    weight += coefficient * term
-            effect = leaves["value"] * (passes[:, :, j] - share[:, j]) * weight
+            effect = effects[j].ravel().take(at)
             for feature in np.unique(slot_input[used[:, j], j]):
                 here = used[:, j] & (slot_input[:, j] == feature)
                 result[begin:begin + _CHUNK, feature] += effect[:, here].sum(axis=1)
@@ -108,12 +126,15 @@ def shapley_values(x: np.ndarray, leaves: dict[str, np.ndarray]) -> np.ndarray:
 def explain(model: GBTClassificationModel, matrix: DataFrame, depth: int) -> DataFrame:
     """Suppliers with ``shap`` (one value per input, in order), probability and tier."""
     spark = matrix.sparkSession
-    leaves = spark.sparkContext.broadcast(leaf_table(spark, model, depth))
+    table = leaf_table(spark, model, depth)
+    leaves = spark.sparkContext.broadcast((table, leaf_effects(table)))
+    # A stored matrix is small on disk and may come in one partition, but a row costs much work.
+    matrix = matrix.repartition(spark.sparkContext.defaultParallelism * 2)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def attribute(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        return pd.Series(list(shapley_values(x, leaves.value)))
+        return pd.Series(list(shapley_values(x, *leaves.value)))
 
     inputs = [F.col(c).cast("double") for c in SUPPLIER_FEATURES]
     return predict(model, matrix).select(

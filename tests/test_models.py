@@ -224,3 +224,21 @@ def test_counting_passes_make_no_row_per_value(spark, monkeypatch):
     values = encoding.distinct_values(texts, ["p", "q"], stored=True)
     assert "Generate" not in values._jdf.queryExecution().toString()
     assert sorted(map(tuple, values.collect())) == [("p", "x"), ("q", "u"), ("q", "v")]
+
+
+def test_attributions_by_outcome_equal_the_sum_over_subsets(spark):
+    """Few outcomes of a leaf are worked out once; many rows of one partition are dealt out before they are scored."""
+    rng = np.random.default_rng(5)
+    used = np.arange(4) < rng.integers(1, 5, 30)[:, None]
+    feature = np.where(used, [rng.choice(12, 4, replace=False) for _ in range(30)], -1)
+    leaves = {"value": rng.normal(size=30), "feature": feature,
+              "low": np.where(used & (rng.random((30, 4)) < 0.5), -0.5, -np.inf),
+              "high": np.where(used & (rng.random((30, 4)) < 0.5), 0.5, np.inf),
+              "share": np.where(used, rng.random((30, 4)), 1.0)}
+    x = rng.normal(size=(600, 12))
+    values = explain.shapley_values(x, leaves)
+    assert explain.leaf_effects(leaves).shape == (4, 16, 30)
+    # Together they are what is known of a row beyond the base value.
+    inside = (x[:, np.where(used, feature, 0)] > leaves["low"]) & (x[:, np.where(used, feature, 0)] <= leaves["high"])
+    known = (leaves["value"] * (inside | ~used).all(axis=2)).sum(axis=1)
+    assert np.allclose(values.sum(axis=1), known - explain.base_value(leaves))
