@@ -107,8 +107,9 @@ def parse_documents(docs: DataFrame) -> DataFrame:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 sequence = tokens(text.as_py())
                 for begin, end, own in parse(sequence, codes):
-                    part = sequence[begin:end]
-                    key = (lang, " ".join(part), own, own - part[:own].count(BREAK))
+                    chunk = " ".join(sequence[begin:end])
+                    breaks = chunk.count(BREAK) - sequence[begin + own:end].count(BREAK) if BREAK in chunk else 0
+                    key = (lang, chunk, own, own - breaks)
                     counts[key] = counts.get(key, 0) + 1
                 if len(counts) >= HELD:
                     yield flush()
@@ -121,10 +122,10 @@ def parse_documents(docs: DataFrame) -> DataFrame:
 
 
 def _word_codes(lang: str, found: Iterable[str]) -> np.ndarray:
-    """A 64-bit number per word and language, from two checksums."""
-    tail = "\x00" + lang
-    raw = ((w + tail).encode("utf-8", "surrogatepass") for w in found)
-    codes = np.array([crc32(b) << 32 | crc32(b[::-1]) for b in raw], np.uint64)
+    """A 64-bit number per word and language, from a checksum that goes on from that of the language. Its 32 bits exceed
+    those of a place in the bitmap."""
+    begin = crc32(lang.encode("utf-8", "surrogatepass") + b"\x00")
+    codes = np.array([crc32(w.encode("utf-8", "surrogatepass"), begin) for w in found], np.uint64)
     return (codes ^ (codes >> np.uint64(29))) * _MIX
 
 

@@ -174,3 +174,21 @@ def test_odd_rows(spark):
         ("fr", "mot mot mot mot mot", 29_996)]
     assert C.collocations(docs.limit(0), 2).count() == 0
     assert C.collocations(docs, 10**6).count() == 0
+
+
+def test_chunks_count_the_words_that_begin_phrases(spark):
+    """Breaks in the closing window belong to the next chunk, those before it are no words."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(str(w) if w else "x." for w in rng.integers(0, 40, 700)) for _ in range(6)]
+    found = C.parse_documents(spark.createDataFrame([("en", t) for t in texts], "lang string, text string")).collect()
+    for r in found:
+        assert r.n_words == r.own - r.chunk.split(" ")[:r.own].count(C.BREAK)
+    assert sum(r.n_words * r.frequency for r in found) == 6 * 700
+    assert any(C.BREAK in r.chunk.split(" ")[r.own:] for r in found)
+
+
+def test_word_codes_tell_words_and_languages_apart():
+    words = [f"w{i}" for i in range(20_000)]
+    codes = np.concatenate([C._word_codes(lang, words) for lang in ("en", "de")])
+    assert len(set(codes.tolist())) >= 39_990 and np.array_equal(codes[:20_000], C._word_codes("en", words))
+    assert len(set(C._bit(codes).tolist())) > 39_900
