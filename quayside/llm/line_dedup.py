@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import free_name, stored
 from quayside.llm.components import components
+from quayside.session import discard
 
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 8, 4      # a pair at the threshold shares a bucket with probability 0.985, at 0.9 with 0.9998
 RUN = 16                # shingles that are hashed in one row
+BROADCAST_ROWS = 500_000    # at most so many keys or nodes (longs) are broadcast to the lines
 
 
 def _content(line: Column) -> Column:
@@ -58,12 +60,9 @@ def signatures(cut: DataFrame) -> DataFrame:
     # A row per run of shingles, whose minimum is taken within the row: far fewer updates of the aggregate.
     runs = sized.select("node", "u", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(2 * RUN))).alias("at"))
 
-    def hashed(k: int) -> Column:
-        return F.hash(F.substring("u", F.col("at") + 2 * k + 1, F.lit(2 * SHINGLE)))
-
-    # Behind the last shingle of a line, the first of the run again.
+    # Behind the last shingle of a line, the last one again: a branch here would double the code of the loop.
     shingles = runs.select("node", *(
-        F.when(F.col("at") + 2 * k <= F.col("last"), hashed(k)).otherwise(hashed(0)).alias(f"h{k}")
+        F.hash(F.substring("u", F.least(F.col("at") + 2 * k, F.col("last")) + 1, F.lit(2 * SHINGLE))).alias(f"h{k}")
         for k in range(RUN)))
     rng = random.Random(5)
     masks = [rng.randrange(-(1 << 31), 1 << 31) for _ in range(BANDS * ROWS)]
@@ -73,15 +72,21 @@ def signatures(cut: DataFrame) -> DataFrame:
         for j, mask in enumerate(masks)))
 
 
-def buckets(signed: DataFrame) -> DataFrame:
-    """``key`` and ``node``, one row per band."""
+def band_keys(signed: DataFrame) -> DataFrame:
+    """``node`` and ``keys``, one per band."""
     keys = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
-    return signed.select("node", F.explode(F.array(*keys)).alias("key"))
+    return signed.select("node", F.array(*keys).alias("keys"))
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """A stored table of one long column, broadcast to what it is joined to if it is small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
 def _tokens(units: str) -> Column:
-    return F.transform(_starts(F.col(units)),
-                       lambda at: F.xxhash64(F.substring(F.col(units), at + 1, F.lit(2 * SHINGLE))))
+    # Bound as a variable, the line is read once; as a column it would be copied for every shingle.
+    return F.transform(F.array(F.col(units)), lambda line: F.transform(
+        _starts(line), lambda at: F.xxhash64(F.substring(line, at + 1, F.lit(2 * SHINGLE)))))[0]
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -98,7 +103,7 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _texts(cut: DataFrame, nodes: DataFrame) -> DataFrame:
     """The characters of one line per node, two bytes each, and the size of its shingle set."""
-    found = cut.select("node", "content").join(stored(nodes), "node")
+    found = cut.filter("node IS NOT NULL").select("node", "content").join(_few(stored(nodes)), "node")
     return stored(found.groupBy("node").agg(F.first("content").alias("content")).select(
         "node", _units(F.col("content")).alias("units")).withColumn("size", F.size(F.array_distinct(_tokens("units")))))
 
@@ -118,63 +123,72 @@ def _labelled(members: DataFrame, known: DataFrame) -> DataFrame:
 def _rare_partners(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of lines of different components (``nodes``: node, component) that share one of their rarest shingles.
 
-    Shingles are ordered by the number of the lines that have them. A set that is similar enough to another shares a
-    shingle among its first ones, all but the required overlap and one more. Where most lines with a shingle are of one
-    component, those of the others are joined to all, and never those of one component to each other.
+    Shingles are ordered, those of one component alone first, the others by the number of the lines that have them. A
+    set that is similar enough to another shares a shingle among its first ones, all but the required overlap and one
+    more. Where most lines with a shingle are of one component, those of the others are joined to all, and never those
+    of one component to each other.
     """
-    shingles = stored(nodes.join(texts, "node").select(
-        "node", "component", "size", F.explode(F.array_distinct(_tokens("units"))).alias("token")))
-    spread = shingles.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
-        F.sum("n").alias("lines"), F.count("*").alias("groups"), F.max_by("component", F.struct("n", "component")).alias("top"))
-    order = Window.partitionBy("node").orderBy("lines", "token")
-    first = shingles.join(spread, "token").withColumn("place", F.row_number().over(order)).filter(
-        F.col("place") <= F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1)
-    shared = stored(first.filter("groups > 1").select("token", "node", "component", "size", "top"))
-    other = shared.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("nb"))
-    met = shared.filter("component <> top").withColumnRenamed("node", "a").join(other, "token").filter(
+    known = nodes.join(texts, "node")
+    tokens = known.select("node", "component", F.explode(F.array_distinct(_tokens("units"))).alias("token"))
+    same = Window.partitionBy("token")
+    mixed = stored(tokens.withColumns({
+        "lines": F.count("*").over(same), "low": F.min("component").over(same), "high": F.max("component").over(same)})
+        .filter("low <> high").select("node", "token", "lines"))
+    # Shingles of one component alone take the first places, and only their number counts.
+    own = Window.partitionBy("node")
+    placed = mixed.select("node", "token", (
+        F.row_number().over(own.orderBy("lines", "token")) - F.count("*").over(own)).alias("behind"))
+    first = stored(placed.join(known.select("node", "component", "size"), "node").filter(
+        F.col("behind") <= 1 - F.ceil(F.col("size") * PERCENT / 100)).drop("behind"))
+    discard(mixed)
+    top = first.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+        F.count("*").alias("groups"), F.max_by("component", F.struct("n", "component")).alias("top")).filter("groups > 1")
+    other = first.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("nb"))
+    met = first.join(top, "token").filter("component <> top").withColumnRenamed("node", "a").join(other, "token").filter(
         "component <> other").filter(F.least("size", "nb") * 100 >= F.greatest("size", "nb") * PERCENT)
     return _ordered(met.select("a", "b"))
 
 
+def bucket_members(keyed: DataFrame) -> DataFrame:
+    """``key`` and ``node``, the lines of each bucket that has several, of all lines' keys."""
+    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
+        "least <> most").select("key")
+    return keyed.join(_few(stored(shared)), "key")
+
+
 def line_components(cut: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the distinct lines that are similar to a different one."""
-    keyed = buckets(stored(signatures(cut)))
+    keyed = stored(band_keys(signatures(cut)))
+    members = stored(bucket_members(keyed.select("node", F.explode("keys").alias("key"))))
+    discard(keyed)
     drawn = F.xxhash64("node", "key")
-    pivots = keyed.groupBy("key").agg(F.min_by("node", drawn).alias("first"), F.max_by("node", drawn).alias("last")).filter(
-        "first <> last")
-    members = stored(keyed.join(pivots, "key"))
-    pairs = stored(_ordered(members.select(F.col("node").alias("a"), F.explode(F.array("first", "last")).alias("b")).filter(
-        "a <> b")))
+    pivots = members.groupBy("key").agg(F.min_by("node", drawn).alias("first"), F.max_by("node", drawn).alias("last"))
+    pairs = stored(_ordered(members.join(pivots, "key").select(
+        F.col("node").alias("a"), F.explode(F.array("first", "last")).alias("b")).filter("a <> b")))
     texts = _texts(cut, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     links = stored(_similar(pairs, texts))
     known = stored(components(links))
-    apart = stored(_labelled(members.select("key", "node"), known).select("node", "component").distinct())
+    apart = stored(_labelled(members, known).select("node", "component").distinct())
     if apart.isEmpty():
         return known
     more = _similar(stored(_rare_partners(apart, texts)), texts)
     return stored(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
 
 
-def line_decisions(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``line_no`` and ``kept`` of every line of the documents."""
+def dropped_lines(docs: DataFrame) -> DataFrame:
+    """``row`` and ``dropped``, the numbers of its dropped lines, of the rows that have some: a list no longer than the
+    document. Of each group the first line stays."""
     cut = lines(docs)
     grouped = line_components(cut)
-    spots = stored(cut.select("row", "doc_id", "line_no", "node"))
-    labelled = spots.filter("node IS NOT NULL").join(grouped, "node", "left").select(
+    spots = stored(cut.filter("node IS NOT NULL").select("row", "doc_id", "line_no", "node"))
+    labelled = spots.join(grouped, "node", "left").select(
         F.coalesce("component", "node").alias("group"), "doc_id", "row", "line_no")
-    # Null ids come last. The first line of each group stays.
+    # Null ids come last.
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line_no")
-    first = labelled.groupBy("group").agg(F.min(place).alias("first")).select(
-        F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no"), F.lit(True).alias("chosen"))
-    return spots.join(first, ["row", "line_no"], "left").select(
-        "row", "doc_id", "line_no", (F.col("node").isNull() | F.col("chosen").isNotNull()).alias("kept"))
-
-
-def _dropped(docs: DataFrame) -> DataFrame:
-    """Per row the number of lines and the numbers of the dropped ones, a list no longer than the document."""
-    return line_decisions(docs).groupBy("row").agg(
-        F.count("*").alias("n_lines"), F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no"))))
-        .alias("dropped"))
+    first = labelled.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("lines")).filter(
+        "lines > 1").select("group", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line"))
+    gone = labelled.join(first, "group").filter("row <> first_row OR line_no <> first_line")
+    return gone.groupBy("row").agg(F.array_sort(F.collect_list("line_no")).alias("dropped"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -185,11 +199,12 @@ def line_report(docs: DataFrame) -> DataFrame:
     repeated rows one keeps its lines; a null id comes after all others. Other columns are ignored. ``docs`` is read
     more than once and numbers its rows, so it should be a stored table.
     """
-    report = _dropped(docs)
-    ids = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    return ids.join(report, "row", "left").select(
-        "doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        F.coalesce(F.col("n_lines") - F.size("dropped"), F.lit(0)).alias("n_kept"),
+    cut = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    ids = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                      cut.alias("n_lines"))
+    return ids.join(dropped_lines(docs), "row", "left").select(
+        "doc_id", "n_lines",
+        (F.col("n_lines") - F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped"))).alias("n_kept"),
         F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped_lines"))
 
 
@@ -197,7 +212,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents, all columns kept, without the dropped lines. A document that had lines with content and loses all
     of them goes; others stay, also null and blank ones. ``n_chars``, where present, follows the text."""
     row, gone = free_name(docs, "row"), free_name(docs, "dropped")
-    marks = _dropped(docs).filter(F.size("dropped") > 0).select(F.col("row").alias(row), F.col("dropped").alias(gone))
+    marks = dropped_lines(docs).select(F.col("row").alias(row), F.col("dropped").alias(gone))
     numbered = docs.withColumn(row, F.monotonically_increasing_id()).join(marks, row, "left")
     kept = F.array_join(F.filter(
         F.split("text", "\n"), lambda line, k: ~F.array_contains(F.col(gone), k)), "\n")

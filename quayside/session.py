@@ -74,6 +74,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete frames that ``cut_lineage`` returned and no later job reads, so that a long job needs less disk."""
+    for df in stored:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+        if not folder.getName().startswith("stored-"):
+            raise ValueError(f"not a stored frame: {folder}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Gather groups for Python work. The stated partition number keeps adaptive execution from merging the
     (small, but slow to process) partitions; grouping by the same keys afterwards needs no further exchange."""
