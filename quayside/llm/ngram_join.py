@@ -12,12 +12,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import free_name, stored, words
 from quayside.llm.components import components
 from quayside.llm.signature_trees import linking_edges
+from quayside.session import discard
 
 WORDS, PERCENT = 3, 90
 SPARE = 2               # parts that may be empty before empty parts emit keys, too
@@ -116,9 +117,8 @@ def profiles(docs: DataFrame, n: int, percent: int, *carried: str) -> DataFrame:
 def candidate_blocks(sets: DataFrame) -> DataFrame:
     """``fp`` and ``block`` of every set that shares a key with a different one."""
     keyed = sets.select(F.explode("keys").alias("key"), "fp")
-    # Copies of a set fall together in the partial aggregate; a hot key is one row per task.
-    shared = keyed.groupBy("key").agg(F.min("fp").alias("first"), F.max("fp").alias("last")).filter("first <> last")
-    edges = keyed.join(shared.select("key", "first"), "key").filter("fp <> first")
+    # One exchange of the keys, by far the largest table here; the rows of a key are read in order, not gathered.
+    edges = keyed.withColumn("first", F.min("fp").over(Window.partitionBy("key"))).filter("fp <> first")
     return components(edges.select(F.col("fp").alias("a"), F.col("first").alias("b"))).select(
         F.col("node").alias("fp"), F.col("component").alias("block"))
 
@@ -141,9 +141,16 @@ def _tile_edges(members: DataFrame, pairs, n: int, percent: int) -> DataFrame:
         run, "a long, b long")
 
 
-def link_sets(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+def keyed_sets(docs: DataFrame, n: int, percent: int, *carried: str) -> tuple[DataFrame, DataFrame]:
+    """The stored profiles without their keys, and the stored candidate blocks that follow from the keys."""
+    keyed = stored(profiles(docs, n, percent, *carried))
+    blocks, sets = stored(candidate_blocks(keyed)), stored(keyed.drop("keys"))
+    discard(keyed)
+    return sets, blocks
+
+
+def link_sets(docs: DataFrame, sets: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
     """``node`` (fingerprint) and ``component`` of the sets that are linked with a different set."""
-    blocks = candidate_blocks(sets)
     chosen = sets.filter("fp IS NOT NULL").groupBy("fp").agg(
         F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles")).join(blocks, "fp")
     sizes = chosen.groupBy("block").agg(F.ceil(F.sum("n_shingles") / TILE).cast("int").alias("tiles"))
@@ -158,13 +165,16 @@ def link_sets(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFra
     texts = docs.join(F.broadcast(placed) if few else placed, "row")
     members = stored(texts.withColumn("tokens", tokens("text")).drop("text", "doc_id"))
 
-    # First every tile with itself and with the block's tile 0, which connects most of a block of close copies.
+    # First every tile with the block's tile 0, which connects most of a block of close copies. A task joins all sets it
+    # is given, so also those of one tile.
     fresh = members.withColumn("component", F.col("fp"))
     first = F.array_distinct(F.transform(
-        F.when(F.col("tile") == 0, F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array(F.lit(0), F.col("tile"))),
+        F.when(F.col("tile") == 0, F.sequence(F.least(F.lit(1), F.col("tiles") - 1), F.col("tiles") - 1))
+        .otherwise(F.array(F.lit(0))),
         lambda o: F.struct(F.least(F.col("tile"), o).alias("i"), F.greatest(F.col("tile"), o).alias("j"))))
     edges = stored(_tile_edges(fresh, first, n, percent))
     if placed.filter("tiles > 2").isEmpty():
+        discard(members)
         return components(edges)
     # Then the remaining tile pairs of blocks that are not one component yet.
     known = components(edges)
@@ -175,7 +185,8 @@ def link_sets(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFra
     rest = F.transform(
         F.filter(F.sequence(F.lit(1), F.col("tiles") - 1), lambda o: o != F.col("tile")),
         lambda o: F.struct(F.least(F.col("tile"), o).alias("i"), F.greatest(F.col("tile"), o).alias("j")))
-    more = _tile_edges(labelled.join(open_blocks, "block").filter("tile > 0"), rest, n, percent)
+    more = stored(_tile_edges(labelled.join(open_blocks, "block").filter("tile > 0"), rest, n, percent))
+    discard(members)
     return components(edges.unionByName(more))
 
 
@@ -192,8 +203,8 @@ def ngram_join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataF
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "row", F.xxhash64("doc_id", "text"))
-    sets = stored(profiles(rows, n, percent))
-    linked = stored(link_sets(rows, sets, n, percent))
+    sets, blocks = keyed_sets(rows, n, percent)
+    linked = stored(link_sets(rows, sets, blocks, n, percent))
     firsts = sets.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     members = linked.join(firsts, F.col("node") == F.col("fp"))
     names = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -213,8 +224,8 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """
     rows = docs.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").cast("long").alias("doc_id"),
                        "text").withColumn("row", F.xxhash64("doc_id", "text"))
-    sets = stored(profiles(rows, n, percent, "number"))
-    linked = stored(link_sets(rows.drop("number"), sets, n, percent))
+    sets, blocks = keyed_sets(rows, n, percent, "number")
+    linked = stored(link_sets(rows.drop("number"), sets, blocks, n, percent))
     grouped = sets.filter("fp IS NOT NULL").join(linked, F.col("node") == F.col("fp"), "left").select(
         F.coalesce("component", "fp").alias("group"), "doc_id", "number")
     # Null ids come last.
