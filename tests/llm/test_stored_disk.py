@@ -1,4 +1,4 @@
-"""What the line and n-gram joins leave on disk, and how often they deal rows out."""
+"""What the line and n-gram joins leave on disk."""
 
 import os
 
@@ -33,7 +33,7 @@ def test_no_table_of_keys_or_shingles_stays(spark):
     assert 0 < kept <= 40 and not [c for c in stayed if c & {"keys", "tokens"} or c == {"node", "token", "lines"}]
 
 
-def test_keys_cross_the_network_once(spark):
+def test_sets_that_share_a_key_are_a_block(spark):
     sets = cut_lineage(spark.createDataFrame(
         [(1, [10, 11]), (2, [11, 12]), (3, [13]), (4, [12])], "fp long, keys array<long>"))
     found = {r.fp: r.block for r in ngram_join.candidate_blocks(sets).collect()}
