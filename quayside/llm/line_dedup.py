@@ -4,10 +4,11 @@ A line's set holds its shingles of ``SHINGLE`` characters. Minima of permuted sh
 the signature are bucket keys, and lines that share a bucket are candidates; the exact Jaccard similarity of their sets
 decides. Components come from distributed union-find, and of each the first line, by document id and position, stays.
 
-A bucket never meets itself. Its lines are compared with two pivots that a hash of line and bucket draws, so the buckets
-of a large group have different ones. For the lines of buckets that stay in several components the rest is settled by an
-exact filter: two sets with the similarity share one of their rarest shingles, so only lines of different components
-that do are compared.
+A large bucket never meets itself. First every line is compared with one other, the smallest line of the bucket that it
+shares most often. What is then in buckets of several components goes on: in buckets of at most ``SMALL`` lines those of
+different components are all compared; in larger ones those outside of the largest component with a line of it. For the
+lines of larger buckets that stay in several components the rest is settled by an exact filter: two sets with the
+similarity share one of their rarest shingles, so only lines of different components that do are compared.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 8, 4      # a pair at the threshold shares a bucket with probability 0.985, at 0.9 with 0.9998
 RUN = 16                # shingles that are hashed in one row
+SMALL = 12              # lines of a bucket that are compared pairwise
 BROADCAST_ROWS = 500_000    # at most so many keys or nodes (longs) are broadcast to the lines
 
 
@@ -114,18 +116,45 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _labelled(members: DataFrame, known: DataFrame) -> DataFrame:
     """The members of the buckets that are in several components, with their components."""
-    labelled = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = members.join(_few(known), "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
         "low <> high").select("key")
     return labelled.join(mixed, "key")
 
 
+def _anchors(members: DataFrame) -> DataFrame:
+    """``a`` and ``b``: of each line the smallest line of a bucket, the one it shares most buckets with."""
+    shared = members.filter("node <> least").groupBy("node", "least").agg(F.count("*").alias("n"))
+    return shared.groupBy(F.col("node").alias("a")).agg(
+        F.max_by("least", F.struct("n", F.bitwise_not("least"))).alias("b"))
+
+
+def _unsettled(mixed: DataFrame, decided: DataFrame) -> DataFrame:
+    """Pairs of lines of different components that a bucket holds and that are not among the ``decided`` ones: all of a
+    small bucket; of a larger one those of one line of its largest component."""
+    known = mixed.filter(F.col("lines") <= SMALL).join(
+        decided.withColumnsRenamed({"a": "node", "b": "anchor"}), "node", "left")
+    small = known.groupBy("key").agg(F.collect_list(F.struct("node", "component", "anchor")).alias("all"))
+    met = small.select("all", F.explode("all").alias("x")).select("x", F.explode(F.filter(
+        "all", lambda y: y["component"] != F.col("x.component"))).alias("y")).filter(
+        # Of the two orders of a pair one has the larger line first, and only that can have the other for its anchor.
+        "x.node > y.node AND NOT x.anchor <=> y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    large = mixed.filter(F.col("lines") > SMALL)
+    groups = large.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "key")).alias("pivot"))
+    top = groups.groupBy("key").agg(
+        F.max_by(F.struct("component", "pivot"), F.struct("n", "component")).alias("top"))
+    rest = large.join(top, "key").filter("component <> top.component").select(
+        F.col("node").alias("a"), F.col("top.pivot").alias("b"))
+    return _ordered(met.unionByName(rest))
+
+
 def _rare_partners(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of lines of different components (``nodes``: node, component) that share one of their rarest shingles.
 
     Shingles are ordered, those of one component alone first, the others by the number of the lines that have them. A
     set that is similar enough to another shares a shingle among its first ones, all but the required overlap and one
-    more. Where most lines with a shingle are of one component, those of the others are joined to all, and never those
+    more. Shingles of one component alone are never shared, so their number bounds the overlap of a pair. Where most lines with a shingle are of one component, those of the others are joined to all, and never those
     of one component to each other.
     """
     known = nodes.join(texts, "node")
@@ -136,42 +165,58 @@ def _rare_partners(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         .filter("low <> high").select("node", "token", "lines"))
     # Shingles of one component alone take the first places, and only their number counts.
     own = Window.partitionBy("node")
-    placed = mixed.select("node", "token", (
+    placed = mixed.select("node", "token", F.count("*").over(own).alias("held"), (
         F.row_number().over(own.orderBy("lines", "token")) - F.count("*").over(own)).alias("behind"))
     first = stored(placed.join(known.select("node", "component", "size"), "node").filter(
         F.col("behind") <= 1 - F.ceil(F.col("size") * PERCENT / 100)).drop("behind"))
     discard(mixed)
     top = first.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
         F.count("*").alias("groups"), F.max_by("component", F.struct("n", "component")).alias("top")).filter("groups > 1")
-    other = first.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("nb"))
+    other = first.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("nb"),
+                         F.col("held").alias("hb"))
+    # Two lines of different components have no more in common than the shingles that either has not for its own alone.
+    most = F.least("held", "hb")
     met = first.join(top, "token").filter("component <> top").withColumnRenamed("node", "a").join(other, "token").filter(
-        "component <> other").filter(F.least("size", "nb") * 100 >= F.greatest("size", "nb") * PERCENT)
-    return _ordered(met.select("a", "b"))
+        "component <> other").filter(most * 100 >= (F.col("size") + F.col("nb") - most) * PERCENT)
+    # What two sets share is among the first shingles of both, or behind the first ones of that whose first ones end
+    # sooner. A shingle is met twice if neither line is of its top component.
+    counted = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.countDistinct("token").alias("shared"), F.first(F.col("size") + F.col("nb")).alias("n"),
+        F.first(F.greatest("size", "nb")).alias("larger"))
+    return counted.filter(F.col("shared") + F.ceil(F.col("larger") * PERCENT / 100) - 1 >= F.ceil(
+        F.col("n") * PERCENT / (100 + PERCENT))).select("a", "b")
 
 
 def bucket_members(keyed: DataFrame) -> DataFrame:
-    """``key`` and ``node``, the lines of each bucket that has several, of all lines' keys."""
-    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
-        "least <> most").select("key")
-    return keyed.join(_few(stored(shared)), "key")
+    """``key``, ``node``, ``lines`` and ``least``, the smallest node: the lines of each bucket that has several, of all
+    lines' keys. One exchange; the rows of a key are read in order, not gathered."""
+    same = Window.partitionBy("key")
+    return keyed.withColumns({"lines": F.count("*").over(same), "least": F.min("node").over(same)}).filter("lines > 1")
 
 
 def line_components(cut: DataFrame) -> DataFrame:
     """``node`` and ``component`` of the distinct lines that are similar to a different one."""
-    keyed = stored(band_keys(signatures(cut)))
-    members = stored(bucket_members(keyed.select("node", F.explode("keys").alias("key"))))
-    discard(keyed)
-    drawn = F.xxhash64("node", "key")
-    pivots = members.groupBy("key").agg(F.min_by("node", drawn).alias("first"), F.max_by("node", drawn).alias("last"))
-    pairs = stored(_ordered(members.join(pivots, "key").select(
-        F.col("node").alias("a"), F.explode(F.array("first", "last")).alias("b")).filter("a <> b")))
-    texts = _texts(cut, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    links = stored(_similar(pairs, texts))
-    known = stored(components(links))
-    apart = stored(_labelled(members, known).select("node", "component").distinct())
-    if apart.isEmpty():
+    members = stored(bucket_members(band_keys(signatures(cut)).select("node", F.explode("keys").alias("key"))))
+    texts = _texts(cut, members.select("node").distinct())
+    anchors = stored(_anchors(members))
+    known = stored(components(stored(_similar(anchors, texts))))
+    mixed = stored(_labelled(members, known))
+    pairs = stored(_unsettled(mixed, anchors))
+    discard(mixed, anchors)
+    known = _joined(known, _similar(pairs, texts))
+    apart = stored(_labelled(members.filter(F.col("lines") > SMALL), known).select("node", "component").distinct())
+    discard(members, pairs)
+    if not apart.isEmpty():
+        known = _joined(known, _similar(stored(_rare_partners(apart, texts)), texts))
+    discard(texts)
+    return known
+
+
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """The components, stored, that further links make of the known ones."""
+    more = stored(links)
+    if more.isEmpty():
         return known
-    more = _similar(stored(_rare_partners(apart, texts)), texts)
     return stored(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
 
 
@@ -181,13 +226,13 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     cut = lines(docs)
     grouped = line_components(cut)
     spots = stored(cut.filter("node IS NOT NULL").select("row", "doc_id", "line_no", "node"))
-    labelled = spots.join(grouped, "node", "left").select(
+    labelled = spots.join(_few(grouped), "node", "left").select(
         F.coalesce("component", "node").alias("group"), "doc_id", "row", "line_no")
     # Null ids come last.
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line_no")
-    first = labelled.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("lines")).filter(
-        "lines > 1").select("group", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line"))
-    gone = labelled.join(first, "group").filter("row <> first_row OR line_no <> first_line")
+    first = stored(labelled.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("lines")).filter(
+        "lines > 1").select("group", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line")))
+    gone = labelled.join(_few(first), "group").filter("row <> first_row OR line_no <> first_line")
     return gone.groupBy("row").agg(F.array_sort(F.collect_list("line_no")).alias("dropped"))
 
 

@@ -98,3 +98,48 @@ def test_own_columns_survive(spark):
     assert out[2].text == "new words" and out[2].row == "v"
     kept = ngram_join.keep_first(cut_lineage(docs))
     assert kept.columns == docs.columns and {r.number for r in kept.collect()} <= {"d", "e"}
+
+
+def test_first_round_compares_a_line_once(spark, monkeypatch):
+    """Lines that share many buckets meet one partner each, and lose no link by it."""
+    counted = []
+    whole = line_dedup._similar
+
+    def similar(pairs, texts):
+        counted.append(pairs.count())
+        return whole(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "_similar", similar)
+    rows = edited(200, 1)
+    found = line_dedup.line_components(cut_lineage(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert counted[0] < len({text for _, text in rows})
+    assert found.select("component").distinct().count() == 1
+
+
+def test_small_buckets_need_no_shingle_index(spark, monkeypatch):
+    """A bucket of a few lines in several components is settled by its own pairs, with the same result."""
+    rows = [*edited(50, 3, 1), *[(i + 50, t) for i, t in edited(50, 6, 2)]]
+    cut = cut_lineage(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string")))
+
+    def groups():
+        parts = {}
+        for r in line_dedup.line_components(cut).collect():
+            parts.setdefault(r.component, set()).add(r.node)
+        return sorted(map(sorted, parts.values()))
+
+    with monkeypatch.context() as patched:
+        patched.setattr(line_dedup, "SMALL", 1)
+        indexed = groups()
+    monkeypatch.setattr(line_dedup, "_rare_partners", lambda *_: 1 / 0)
+    assert groups() == indexed
+
+
+def test_lines_that_share_too_little_are_no_partners(spark):
+    """Lines of other words around a common part share rare shingles, but too few of them to be compared."""
+    rng = random.Random(4)
+    common = "".join(rng.choice("abcdefghij") for _ in range(100))
+    rows = [(i, common + "".join(rng.choice("klmnopqrst") for _ in range(60))) for i in range(30)]
+    cut = cut_lineage(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    nodes = cut.select("node").distinct().withColumn("component", F.col("node"))
+    texts = line_dedup._texts(cut, nodes.select("node"))
+    assert line_dedup._rare_partners(nodes, texts).isEmpty()
