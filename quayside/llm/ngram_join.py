@@ -3,7 +3,8 @@
 Trees compare sets inside blocks, and blocks must be small. Sets within the similarity differ in few shingles, at most
 d. Shingles are dealt by hash into d + 1 + s parts: a linked pair then agrees in at least 1 + s parts, and every set
 emits a key per part. Sets that share a key form a block's candidates; connected candidates are a block. A block whose
-sets are too many for a task is cut into tiles, and a task joins a pair of tiles.
+sets are too many for a task is cut into tiles, and a task joins a pair of tiles: every tile with the first one, then
+of the others the sets that share a key across components.
 """
 
 from __future__ import annotations
@@ -114,15 +115,36 @@ def profiles(docs: DataFrame, n: int, percent: int, *carried: str) -> DataFrame:
     return docs.select(*extra, "doc_id", "text").mapInArrow(run, schema)
 
 
-def candidate_blocks(sets: DataFrame) -> DataFrame:
-    """``fp`` and ``block`` of every set that shares a key with a different one."""
-    keyed = sets.select(F.explode("keys").alias("key"), "fp")
+def shared_keys(sets: DataFrame) -> DataFrame:
+    """``key``, ``fp`` and ``first`` (the smallest ``fp`` of the key) of the keys that several sets share."""
     # One exchange of the keys, by far the largest table here; the rows of a key are read in order, not gathered.
-    edges = keyed.withColumn("first", F.min("fp").over(Window.partitionBy("key"))).filter("fp <> first")
-    return components(edges.select(F.col("fp").alias("a"), F.col("first").alias("b"))).select(
+    same = Window.partitionBy("key")
+    keyed = sets.select(F.explode("keys").alias("key"), "fp").withColumns(
+        {"first": F.min("fp").over(same), "last": F.max("fp").over(same)})
+    return keyed.filter("first <> last").select("key", "fp", "first").distinct()
+
+
+def _blocks(keys: DataFrame) -> DataFrame:
+    return components(keys.filter("fp <> first").select(F.col("fp").alias("a"), F.col("first").alias("b"))).select(
         F.col("node").alias("fp"), F.col("component").alias("block"))
 
 
+def candidate_blocks(sets: DataFrame) -> DataFrame:
+    """``fp`` and ``block`` of every set that shares a key with a different one."""
+    return _blocks(shared_keys(sets))
+
+
+def _meetings(placed: DataFrame, keys: DataFrame) -> DataFrame:
+    """``fp`` and ``others``, the further tiles beyond tile 0 that hold a set of a different component with one of its
+    keys, of the sets (``placed``: fp, tile, component) that have any."""
+    at = keys.select("key", "fp").join(placed.filter("tile > 0"), "fp")
+    spans = at.groupBy("key", F.col("tile").alias("other")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"))
+    # Per key and tile one row, however many sets are there.
+    met = at.join(spans, "key").filter("tile <> other AND (low <> component OR high <> component)")
+    return met.groupBy("fp").agg(F.collect_set("other").alias("others"))
+
+
 def _tile_edges(members: DataFrame, pairs, n: int, percent: int) -> DataFrame:
     """``a`` - ``b`` links between sets of the same block, for the tile pairs that the column ``pairs`` lists for each
     member as structs of ``i`` and ``j``."""
@@ -142,17 +164,17 @@ def _tile_edges(members: DataFrame, pairs, n: int, percent: int) -> DataFrame:
 
 
 def keyed_sets(docs: DataFrame, n: int, percent: int, *carried: str) -> tuple[DataFrame, DataFrame]:
-    """The stored profiles without their keys, and the stored candidate blocks that follow from the keys."""
+    """The stored profiles without their keys, and the stored keys that several sets share."""
     keyed = stored(profiles(docs, n, percent, *carried))
-    blocks, sets = stored(candidate_blocks(keyed)), stored(keyed.drop("keys"))
+    shared, sets = stored(shared_keys(keyed)), stored(keyed.drop("keys"))
     discard(keyed)
-    return sets, blocks
+    return sets, shared
 
 
-def link_sets(docs: DataFrame, sets: DataFrame, blocks: DataFrame, n: int, percent: int) -> DataFrame:
+def link_sets(docs: DataFrame, sets: DataFrame, keys: DataFrame, n: int, percent: int) -> DataFrame:
     """``node`` (fingerprint) and ``component`` of the sets that are linked with a different set."""
     chosen = sets.filter("fp IS NOT NULL").groupBy("fp").agg(
-        F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles")).join(blocks, "fp")
+        F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles")).join(stored(_blocks(keys)), "fp")
     sizes = chosen.groupBy("block").agg(F.ceil(F.sum("n_shingles") / TILE).cast("int").alias("tiles"))
     placed = stored(chosen.join(sizes, "block").select(
         "row", "fp", "block", "tiles", F.pmod(F.xxhash64("fp"), "tiles").cast("int").alias("tile")))
@@ -176,16 +198,15 @@ def link_sets(docs: DataFrame, sets: DataFrame, blocks: DataFrame, n: int, perce
     if placed.filter("tiles > 2").isEmpty():
         discard(members)
         return components(edges)
-    # Then the remaining tile pairs of blocks that are not one component yet.
+    # Then, in blocks that are not one component yet, the remaining tile pairs. Linked sets share a key, so a set goes
+    # only where one of a different component has one of its keys.
     known = components(edges)
-    labelled = members.join(known.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+    labelled = placed.filter("tiles > 2").join(known.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp"))
-    open_blocks = labelled.filter("tiles > 2").groupBy("block").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("block")
-    rest = F.transform(
-        F.filter(F.sequence(F.lit(1), F.col("tiles") - 1), lambda o: o != F.col("tile")),
-        lambda o: F.struct(F.least(F.col("tile"), o).alias("i"), F.greatest(F.col("tile"), o).alias("j")))
-    more = stored(_tile_edges(labelled.join(open_blocks, "block").filter("tile > 0"), rest, n, percent))
+    meeting = stored(labelled.join(_meetings(labelled.select("fp", "tile", "component"), keys), "fp").select(
+        "fp", "component", "others"))
+    rest = F.transform("others", lambda o: F.struct(F.least("tile", o).alias("i"), F.greatest("tile", o).alias("j")))
+    more = stored(_tile_edges(members.join(meeting, "fp"), rest, n, percent))
     discard(members)
     return components(edges.unionByName(more))
 
@@ -203,8 +224,8 @@ def ngram_join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataF
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "row", F.xxhash64("doc_id", "text"))
-    sets, blocks = keyed_sets(rows, n, percent)
-    linked = stored(link_sets(rows, sets, blocks, n, percent))
+    sets, keys = keyed_sets(rows, n, percent)
+    linked = stored(link_sets(rows, sets, keys, n, percent))
     firsts = sets.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     members = linked.join(firsts, F.col("node") == F.col("fp"))
     names = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -224,8 +245,8 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """
     rows = docs.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").cast("long").alias("doc_id"),
                        "text").withColumn("row", F.xxhash64("doc_id", "text"))
-    sets, blocks = keyed_sets(rows, n, percent, "number")
-    linked = stored(link_sets(rows.drop("number"), sets, blocks, n, percent))
+    sets, keys = keyed_sets(rows, n, percent, "number")
+    linked = stored(link_sets(rows.drop("number"), sets, keys, n, percent))
     grouped = sets.filter("fp IS NOT NULL").join(linked, F.col("node") == F.col("fp"), "left").select(
         F.coalesce("component", "fp").alias("group"), "doc_id", "number")
     # Null ids come last.
