@@ -168,23 +168,20 @@ def _rare_partners(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     placed = mixed.select("node", "token", F.count("*").over(own).alias("held"), (
         F.row_number().over(own.orderBy("lines", "token")) - F.count("*").over(own)).alias("behind"))
     first = stored(placed.join(known.select("node", "component", "size"), "node").filter(
-        F.col("behind") <= 1 - F.ceil(F.col("size") * PERCENT / 100)).drop("behind"))
+        F.col("behind") <= 1 - F.ceil(F.col("size") * PERCENT / 100)).withColumn(
+        # The smaller set of a pair has more of its shingles in common, so fewer first ones do.
+        "early", F.col("behind") <= 1 - F.ceil(F.col("size") * 2 * PERCENT / (100 + PERCENT))).drop("behind"))
     discard(mixed)
     top = first.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
         F.count("*").alias("groups"), F.max_by("component", F.struct("n", "component")).alias("top")).filter("groups > 1")
     other = first.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("nb"),
-                         F.col("held").alias("hb"))
+                         F.col("held").alias("hb"), F.col("early").alias("eb"))
     # Two lines of different components have no more in common than the shingles that either has not for its own alone.
     most = F.least("held", "hb")
     met = first.join(top, "token").filter("component <> top").withColumnRenamed("node", "a").join(other, "token").filter(
-        "component <> other").filter(most * 100 >= (F.col("size") + F.col("nb") - most) * PERCENT)
-    # What two sets share is among the first shingles of both, or behind the first ones of that whose first ones end
-    # sooner. A shingle is met twice if neither line is of its top component.
-    counted = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
-        F.countDistinct("token").alias("shared"), F.first(F.col("size") + F.col("nb")).alias("n"),
-        F.first(F.greatest("size", "nb")).alias("larger"))
-    return counted.filter(F.col("shared") + F.ceil(F.col("larger") * PERCENT / 100) - 1 >= F.ceil(
-        F.col("n") * PERCENT / (100 + PERCENT))).select("a", "b")
+        "component <> other AND CASE WHEN size < nb THEN early ELSE eb END").filter(
+        most * 100 >= (F.col("size") + F.col("nb") - most) * PERCENT)
+    return _ordered(met.select("a", "b"))
 
 
 def bucket_members(keyed: DataFrame) -> DataFrame:

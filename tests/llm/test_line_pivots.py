@@ -118,7 +118,7 @@ def test_first_round_compares_a_line_once(spark, monkeypatch):
 
 def test_small_buckets_need_no_shingle_index(spark, monkeypatch):
     """A bucket of a few lines in several components is settled by its own pairs, with the same result."""
-    rows = [*edited(50, 3, 1), *[(i + 50, t) for i, t in edited(50, 6, 2)]]
+    rows = [*edited(6, 2, 1), *[(i + 6, t) for i, t in edited(6, 4, 2)]]
     cut = cut_lineage(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string")))
 
     def groups():
