@@ -1,10 +1,15 @@
 """Documents with nearly the same n-gram sets: exact Jaccard links by signature trees, and the groups they form.
 
-Trees compare sets inside blocks, and blocks must be small. Sets within the similarity differ in few shingles, at most
-d. Shingles are dealt by hash into d + 1 + s parts: a linked pair then agrees in at least 1 + s parts, and every set
-emits a key per part. Sets that share a key form a block's candidates; connected candidates are a block. A block whose
-sets are too many for a task is cut into tiles, and a task joins a pair of tiles: every tile with the first one, then
-of the others the sets that share a key across components.
+Trees compare sets inside blocks, and blocks must be small. With the shingles of all sets in one order, rarest first,
+linked sets share a shingle among the first n - ceil(n * percent / 100) + 1 of their n. Those of them that occur in
+several sets are a set's keys: a passage that many documents hold is no key where enough else is rarer. Sets that
+share a key form a block's candidates; connected candidates are a block. A block whose sets are too many for a task is
+cut into tiles, and a task joins a pair of tiles: every tile with the first one, then of the others the sets that share
+a key across components.
+
+To order the shingles they are counted: each set's are dealt by hash into parts, a part tells which of its own occur
+several times, and only those go back to their sets. Until then they travel as arrays of 32 bits, without ids; two
+shingles that are one there make a key too many at worst.
 """
 
 from __future__ import annotations
@@ -13,16 +18,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import free_name, stored, words
+from quayside.llm.common import free_name, partitions_of, stored, words
 from quayside.llm.components import components
 from quayside.llm.signature_trees import linking_edges
-from quayside.session import discard
+from quayside.session import by_key, discard
 
 WORDS, PERCENT = 3, 90
-SPARE = 2               # parts that may be empty before empty parts emit keys, too
+CHUNK = 1_000_000       # shingles that are dealt at a time
+PART_BYTES = 16_000_000     # bytes of text whose shingles make a part, some two million shingles
 TILE, TILE_SETS = 1_000_000, 2_000  # shingles and sets that a tile holds, about
 BROADCAST_ROWS = 500_000    # at most so many block members (of 32 bytes) are broadcast to the texts
 
@@ -56,65 +63,113 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
     return np.unique(code)
 
 
-def _bounds(percent: int) -> np.ndarray:
-    """Size classes: linked sets are in the same or in neighbouring classes."""
-    edges = [1]
-    while edges[-1] < 1 << 40:
-        edges.append(max(edges[-1] + 1, -(-100 * edges[-1] // percent)))
-    return np.array(edges, np.int64)
-
-
-def part_keys(tokens: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
-    """The keys of a set. In the class of the smaller set of a pair, a set takes part with its own class and with the
-    one below."""
-    if not len(tokens):
-        return np.zeros(0, np.int64)
-    own = int(np.searchsorted(bounds, len(tokens), "right") - 1)
-    mixed = _mix(tokens)
-    low, high = (mixed & np.uint64(0xFFFFFFFF)).astype(np.float64), (mixed >> np.uint64(32)).astype(np.float64)
-    out = []
-    for cls in (own, own - 1):
-        if cls < 0:
-            continue
-        # Sizes a <= b with b <= 100 a / percent differ in at most (a + b) (100 - percent) / (100 + percent) shingles.
-        smaller = int(bounds[cls + 1]) - 1
-        larger = 100 * smaller // percent
-        parts = (smaller + larger) * (100 - percent) // (100 + percent) + 1 + SPARE
-        part = (tokens % np.uint64(parts)).astype(np.int64)
-        count = np.bincount(part, minlength=parts)
-        # Sums of 32-bit numbers are exact in doubles.
-        sums = [np.bincount(part, v, parts).astype(np.uint64) for v in (low, high)]
-        key = _mix(_mix(sums[0] + np.uint64(cls * int(_B) % (1 << 64))) + sums[1] * _A + np.arange(parts, dtype=np.uint64))
-        empty = count == 0
-        out.append(key if empty.sum() > SPARE else key[~empty])
-    return np.concatenate(out).view(np.int64)
-
-
-_PROFILE = "doc_id long, n_shingles long, fp long, keys array<long>"
-
-
-def profiles(docs: DataFrame, n: int, percent: int, *carried: str) -> DataFrame:
-    """Per row the size of the shingle set, its fingerprint (null for the empty set) and its keys, with ``row`` and other
-    long columns carried along."""
-    bounds = _bounds(percent)
+_PROFILE = "doc_id long, n_shingles long, fp long"
+_DEALT = "chunk long, part long, hashes binary, places binary"
+
+
+def _deal(chunk: int, sets: dict[int, np.ndarray], parts: int) -> list[tuple]:
+    """Rows of ``_DEALT`` for a chunk of sets by fingerprint: the fingerprints and sizes as part -1, then per part the
+    lower halves of its shingles and the places of their sets in the chunk."""
+    sizes = np.fromiter(map(len, sets.values()), np.uint32, len(sets))
+    tokens = np.concatenate(list(sets.values()))
+    part = (tokens >> np.uint64(32)) % np.uint64(parts)
+    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+    low = tokens.astype(np.uint32)[order]
+    places = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)[order]
+    filled, first = np.unique(part[order], return_index=True)
+    ends = [*first[1:].tolist(), len(low)]
+    return [(chunk, -1, np.fromiter(sets, np.int64, len(sets)).tobytes(), sizes.tobytes())] + [
+        (chunk, p, low[i:j].tobytes(), places[i:j].tobytes()) for p, i, j in zip(filled.tolist(), first.tolist(), ends)]
+
+
+def profiles(docs: DataFrame, n: int, parts: int, *carried: str) -> DataFrame:
+    """Per row the size of the shingle set and its fingerprint (null for the empty set), with ``row`` and other long
+    columns carried along; between them, with ``part`` not null and nothing else, the rows of the dealt shingles."""
     extra = ["row", *carried]
+    schema = ", ".join([*(f"{c} long" for c in extra), _PROFILE, _DEALT])
+    own = [*extra, "doc_id", "n_shingles", "fp"]
+    types = {c: pa.int64() for c in [*own, "chunk", "part"]} | {"hashes": pa.binary(), "places": pa.binary()}
+
+    def rows(columns: dict) -> pa.RecordBatch:
+        length = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([
+            columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns.get(c, [None] * length), t)
+            for c, t in types.items()], names=list(types))
+
+    def dealt(chunk: int, sets: dict) -> pa.RecordBatch:
+        return rows(dict(zip(["chunk", "part", "hashes", "places"], zip(*_deal(chunk, sets, parts)))))
 
     def run(batches):
+        chunk, sets, held = TaskContext.get().partitionId() << 32, {}, 0
         for batch in batches:
-            size, prints, keys = [], [], []
+            size, prints = [], []
             for value in batch.column("text"):
                 tokens = shingles(value.as_py(), n)
                 size.append(len(tokens))
                 prints.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else None)
-                keys.append(part_keys(tokens, percent, bounds))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in extra), batch.column("doc_id"), pa.array(size, pa.int64()),
-                 pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=[*extra, "doc_id", "n_shingles", "fp", "keys"])
-    schema = ", ".join([*(f"{c} long" for c in extra), _PROFILE])
+                if len(tokens) and prints[-1] not in sets:
+                    sets[prints[-1]] = tokens
+                    held += len(tokens)
+                    if held >= CHUNK or len(sets) == 1 << 16:
+                        yield dealt(chunk, sets)
+                        chunk, sets, held = chunk + 1, {}, 0
+            yield rows({c: batch.column(c) for c in [*extra, "doc_id"]} | {"n_shingles": size, "fp": prints})
+        if sets:
+            yield dealt(chunk, sets)
     return docs.select(*extra, "doc_id", "text").mapInArrow(run, schema)
 
 
+def _repeated(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of a part the shingles that occur several times, with the number of times (at most 65,535), per chunk."""
+    low = [np.frombuffer(b, np.uint32) for b in frame["hashes"]]
+    ends = np.cumsum([len(x) for x in low])
+    low = np.concatenate(low)
+    both = np.sort((low.astype(np.uint64) << np.uint64(32)) | np.arange(len(low), dtype=np.uint64))
+    value = both >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    length = np.diff(np.append(first, len(low)))
+    times = np.empty(len(low), np.uint16)
+    times[(both & np.uint64(0xFFFFFFFF)).astype(np.int64)] = np.repeat(np.minimum(length, 65_535), length)
+    again = np.flatnonzero(times > 1)
+    places = np.concatenate([np.frombuffer(b, np.uint16) for b in frame["places"]])
+    cuts = np.searchsorted(again, ends[:-1])
+    return pd.DataFrame({"chunk": frame["chunk"], "part": frame["part"]} | {
+        name: [x.tobytes() for x in np.split(column[again], cuts)]
+        for name, column in (("hashes", low), ("places", places), ("times", times))})
+
+
+def _first_keys(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """``fp`` and ``keys`` of the sets of a chunk that have keys."""
+    head = frame["part"] == -1
+    prints = np.frombuffer(frame["hashes"][head].iloc[0], np.int64)
+    sizes = np.frombuffer(frame["places"][head].iloc[0], np.uint32).astype(np.int64)
+    rest = frame[~head]
+
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(rest[name]), kind)
+    low, places, times = joined("hashes", np.uint32), joined("places", np.uint16), joined("times", np.uint16)
+    part = np.repeat(rest["part"].to_numpy(np.int64), rest["hashes"].map(len).to_numpy(np.int64) // 4)
+    key = (part << 32) | low
+    # Shingles that occur once are the first of the order and need no key.
+    shared = np.bincount(places, minlength=len(sizes))
+    left = shared + 1 + -percent * sizes // 100
+    order = np.lexsort((key, times, places))
+    place = places[order]
+    taken = np.arange(len(order)) - (np.cumsum(shared) - shared)[place] < left[place]
+    place, key = place[taken], key[order][taken]
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    return pd.DataFrame({"fp": prints[place[first]], "keys": pd.Series(np.split(key, first)[1:], dtype=object)})
+
+
+def set_keys(dealt: DataFrame, percent: int) -> DataFrame:
+    """``fp`` and ``keys`` of the sets whose rarest shingles some other set may have, from the dealt shingles."""
+    counted = by_key(dealt.filter("part >= 0"), "part").groupBy("part").applyInPandas(_repeated, f"{_DEALT}, times binary")
+    whole = dealt.filter("part = -1").withColumn("times", F.lit(None).cast("binary")).unionByName(
+        counted.filter("octet_length(hashes) > 0"))
+    return by_key(whole, "chunk").groupBy("chunk").applyInPandas(
+        lambda frame: _first_keys(frame, percent), "fp long, keys array<long>")
+
+
 def shared_keys(sets: DataFrame) -> DataFrame:
     """``key``, ``fp`` and ``first`` (the smallest ``fp`` of the key) of the keys that several sets share."""
     # One exchange of the keys, by far the largest table here; the rows of a key are read in order, not gathered.
@@ -164,10 +219,14 @@ def _tile_edges(members: DataFrame, pairs, n: int, percent: int) -> DataFrame:
 
 
 def keyed_sets(docs: DataFrame, n: int, percent: int, *carried: str) -> tuple[DataFrame, DataFrame]:
-    """The stored profiles without their keys, and the stored keys that several sets share."""
-    keyed = stored(profiles(docs, n, percent, *carried))
-    shared, sets = stored(shared_keys(keyed)), stored(keyed.drop("keys"))
-    discard(keyed)
+    """The stored profiles, and the stored keys that several sets share."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(partitions_of(docs.sparkSession), -(-size // PART_BYTES))
+    both = stored(profiles(docs, n, parts, *carried))
+    shared = stored(shared_keys(set_keys(both.filter("part IS NOT NULL").select("chunk", "part", "hashes", "places"),
+                                         percent)))
+    sets = stored(both.filter("part IS NULL").drop("chunk", "part", "hashes", "places"))
+    discard(both)
     return sets, shared
 
 
